@@ -1 +1 @@
-
+"""Column expressions: normalization, features, scalars."""

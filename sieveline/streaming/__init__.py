@@ -1 +1 @@
-
+"""Incremental runs on Structured Streaming."""
