@@ -8,6 +8,8 @@ runs and not characters.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,6 +34,16 @@ FEATURES = (
 )
 
 
+def once(value: Column) -> Column:
+    """The value, computed where it stands: the optimizer neither copies it to where it is used nor moves a filter on it below it."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body over a value that is computed a single time."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without white space at either end."""
     return F.regexp_replace(text, f"^[{SPACE}]+|[{SPACE}]+$", "")
@@ -81,19 +93,22 @@ def top_count(items: Column) -> Column:
 def features(text: Column, profile: LanguageProfile = TURKISH) -> Column:
     """The 18 features of a normalized text; zeros for an empty one."""
     text = F.coalesce(text, F.lit(""))
-    chars = F.length(text)
+    lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x != "")
+    parts = F.struct(text.alias("t"), words(F.lower(text)).alias("w"), lines.alias("l"), count_of(text, SPACE).alias("s"))
+    return let(parts, lambda p: _features(p["t"], p["w"], p["l"], p["s"], profile))
+
+
+def _features(text: Column, own: Column, lines: Column, spaces: Column, profile: LanguageProfile) -> Column:
+    chars, n_words = F.length(text), F.size(own)
     per_char = lambda n: round_half_up(n / F.greatest(chars, F.lit(1)), 4)
-    own = words(F.lower(text))
-    n_words = F.size(own)
     per_word = lambda n, d=4: round_half_up(n / F.greatest(n_words, F.lit(1)), d)
-    lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x != "")
     hits = sum((F.regexp_like(text, F.lit(ignoring_case(p))).cast("bigint") for p in profile.boilerplate), F.lit(0).cast("bigint"))
     long = lambda c: c.cast("bigint")
     values = {
         "char_count": long(chars),
         "word_count": long(n_words),
-        "line_count": long(F.size(F.split(text, "\n"))),
-        "sentence_count": long(F.regexp_count(text, F.lit(SENTENCE_END)) + 1),
+        "line_count": F.when(chars == 0, F.lit(0)).otherwise(F.size(F.split(text, "\n"))).cast("bigint"),
+        "sentence_count": F.when(chars == 0, F.lit(0)).otherwise(F.regexp_count(text, F.lit(SENTENCE_END)) + 1).cast("bigint"),
         "url_count": long(F.regexp_count(text, F.lit(URL))),
         "email_count": long(F.regexp_count(text, F.lit(EMAIL))),
         "html_tag_count": long(F.regexp_count(text, F.lit(HTML_TAG))),
@@ -101,18 +116,16 @@ def features(text: Column, profile: LanguageProfile = TURKISH) -> Column:
         "alpha_ratio": per_char(count_of(text, r"\p{L}")),
         "digit_ratio": per_char(count_of(text, r"\p{Nd}" + OTHER_DIGITS)),
         "punctuation_ratio": per_char(F.length(F.regexp_replace(text, r"[\p{L}\p{N}" + SPACE + "]+", ""))),
-        "whitespace_ratio": per_char(count_of(text, SPACE)),
+        "whitespace_ratio": per_char(spaces),
         "turkish_char_ratio": per_char(count_of(text, profile.special_chars)),
         "unique_token_ratio": per_word(F.size(F.array_distinct(own))),
         "repeated_word_frac": per_word(top_count(own)),
         "repeated_line_ratio": F.when(F.size(lines) > 0, round_half_up(1 - F.size(F.array_distinct(lines)) / F.size(lines), 4)).otherwise(F.lit(0.0)),
         # lower case may have more code points than the word: lengths are those of the text as it stands
-        "avg_word_length": per_word(chars - count_of(text, SPACE), 2),
+        "avg_word_length": per_word(chars - spaces, 2),
         "stopword_coverage": per_word(F.size(F.filter(own, lambda w: w.isin(*profile.stopwords)))),
     }
-    empty = chars == 0
-    zero = lambda k, c: F.when(empty, F.lit(0).cast("bigint") if k.endswith(("count", "hits")) else F.lit(0.0)).otherwise(c).alias(k)
-    return F.struct(*(zero(k, values[k]) for k in FEATURES))
+    return F.struct(*(values[k].alias(k) for k in FEATURES))
 
 
 def record_text(value: Column) -> Column:

@@ -102,6 +102,9 @@ def mark_near(df: DataFrame, text_col: str, order: str, cfg: Config) -> DataFram
     bucket that most rows share aggregates before its shuffle.
     """
     buckets = stored(band_keys(df, [order], text_col, cfg), "buckets")
+    # a row alone in all its buckets is kept; only shared buckets take part in the rounds
+    shared = buckets.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select("band", "bucket")
+    buckets = stored(buckets.join(shared, ["band", "bucket"], "left_semi"), "shared")
     state = buckets.select(order).distinct().withColumn("kept", F.lit(None).cast("boolean"))
     while True:
         state = stored(state, "near")
