@@ -20,6 +20,7 @@ that repeat an id give a row each; other columns of the input are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -85,6 +86,11 @@ def _map(wrong: str, right: str) -> dict[int, str]:
     return out
 
 
+@lru_cache(maxsize=64)
+def _letters_of(wrong: str, right: str) -> frozenset[str]:
+    return frozenset(map(chr, _map(wrong, right)))
+
+
 def undo(text: str, wrong: str, right: str) -> str:
     """The text with each run of non-ASCII characters decoded anew, where its bytes allow it."""
     if right != "utf-8":
@@ -195,7 +201,11 @@ def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str]
     for depth in range(1, DEPTH + 1):
         found = []
         for _, steps, old, n in front:
+            counts = Counter(_odd().findall(old))
             for step in STEPS:
+                table = _bytes_of(step[0]) if step[1] == "utf-8" else _letters_of(*step)
+                if 2 * sum(k for c, k in counts.items() if c in table) < n:
+                    continue  # it would leave most odd characters as they are
                 new = undo(old, *step)
                 if new in tried:
                     continue

@@ -41,7 +41,7 @@ RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Rows that a table of targets may have.
 TARGETS = 10_000
-BINS = 4096
+BINS = 1024
 #: Levels to a doubling of the weight.
 LEVELS = 64
 LONGEST = 100_000

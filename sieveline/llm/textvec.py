@@ -188,11 +188,11 @@ def rows_of(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
     return ids, texts
 
 
-def read(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Block]]:
+def read(batches: Iterable[pa.RecordBatch], size: int = BLOCK_CHARS) -> Iterator[tuple[np.ndarray, Block]]:
     """Ids of the documents and their block, for each block of each batch."""
     for batch in batches:
         ids, texts = rows_of(batch)
-        for block in blocks(texts):
+        for block in blocks(texts, size):
             yield ids[block.first : block.first + block.n], block
 
 
