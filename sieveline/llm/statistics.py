@@ -333,8 +333,12 @@ def _chunk_states(fixed: Fixed):
 
 
 def _merge_node(fixed: Fixed):
+    made: list[Language] = []
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        language = fixed.language()
+        if not made:
+            made.append(fixed.language())
+        language = made[0]
         rows = pdf.sort_values("chunk").to_dict("records")
         state = rows[0]
         for r in rows[1:]:
@@ -351,7 +355,7 @@ def long_documents(docs: DataFrame, fixed: Fixed, longest: int, limits: Limits,
     left = F.least(at, F.lit(CONTEXT))
     pieces = (
         docs.dropDuplicates(["doc_id"])
-        .select("doc_id", "text", F.length("text").alias("size"), F.explode(F.sequence(F.lit(0), n - 1)).cast("bigint").alias("chunk"))
+        .select("doc_id", "text", F.length("text").alias("size"), F.explode(F.sequence(F.lit(0).cast("bigint"), (n - 1).cast("bigint"))).alias("chunk"))
         .select("doc_id", "chunk", "text", left.cast("int").alias("left"), F.greatest(F.lit(0), F.least(F.lit(CONTEXT), F.col("size") - at - chunk)).cast("int").alias("right"), at.cast("int").alias("at"))
         .select("doc_id", "chunk", "left", "right", F.expr(f"substring(text, at - left + 1, {chunk} + left + right)").alias("text"))
         .repartition("doc_id", "chunk")
@@ -359,7 +363,7 @@ def long_documents(docs: DataFrame, fixed: Fixed, longest: int, limits: Limits,
     states = pieces.mapInPandas(_chunk_states(fixed), STATE)
     nodes = -(-longest // chunk)
     while nodes > 1:
-        states = states.groupBy("doc_id", F.floor(F.col("chunk") / FAN)).applyInPandas(lambda pdf, f=_merge_node(fixed): f(pdf), STATE)
+        states = states.groupBy("doc_id", F.floor(F.col("chunk") / FAN)).applyInPandas(_merge_node(fixed), STATE)
         nodes = -(-nodes // FAN)
 
     def finish(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
