@@ -13,8 +13,6 @@ from ..config import Config
 from ..functions.text import strip
 from ..plans.storage import stored
 
-_PRIME = (1 << 61) - 1
-
 
 def exact_key(text: Column) -> Column:
     return F.lower(strip(text))
@@ -53,18 +51,20 @@ def _hashes(text: str, k: int) -> np.ndarray:
     h = np.zeros(n, np.uint64)
     for i in range(min(k, len(cp))):
         h = h * np.uint64(0x100000001B3) + cp[i : i + n]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.unique((h >> np.uint64(32)).astype(np.uint64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h ^= h >> np.uint64(shift)
+        h *= np.uint64(factor)
+    return np.unique(h ^ (h >> np.uint64(31)))
 
 
 def band_keys(df: DataFrame, id_cols: Sequence[str], text_col: str, cfg: Config) -> DataFrame:
     """A row for each band of each text's MinHash signature."""
     rng = np.random.default_rng(cfg.seed)
     n = cfg.bands * cfg.rows
-    a = rng.integers(1, 1 << 31, n, dtype=np.uint64)
-    b = rng.integers(0, 1 << 31, n, dtype=np.uint64)
-    prime, k, bands, rows = np.uint64(_PRIME), cfg.shingle, cfg.bands, cfg.rows
+    # multiplication by a random odd number permutes the 64-bit hashes, and its order is that of the high bits
+    a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    b = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    k, bands, rows = cfg.shingle, cfg.bands, cfg.rows
     ids = list(id_cols)
     if n > cfg.permutations:
         raise ValueError("bands * rows must not exceed the permutations")
@@ -76,7 +76,7 @@ def band_keys(df: DataFrame, id_cols: Sequence[str], text_col: str, cfg: Config)
                 h = _hashes(t, k)
                 least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
                 for s in range(0, len(h), 4096):
-                    least = np.minimum(least, ((h[s : s + 4096, None] * a + b) % prime).min(axis=0))
+                    least = np.minimum(least, (h[s : s + 4096, None] * a + b).min(axis=0))
                 mixed = np.zeros(bands, np.uint64)
                 for r in range(rows):
                     mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ least.reshape(bands, rows)[:, r]

@@ -90,8 +90,8 @@ def discounts(counts: DataFrame) -> DataFrame:
     """(d1, d2, d3) of modified Kneser-Ney from the counts of counts; a row."""
     of = lambda k: F.count(F.when(F.col("n") == k, 1)).alias(f"n{k}")
     c = counts.agg(*(of(k) for k in (1, 2, 3, 4)))
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
-    d = [k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}") for k in (1, 2, 3)]
+    y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
+    d = [k - F.try_divide((k + 1) * y * F.col(f"n{k + 1}"), F.col(f"n{k}")) for k in (1, 2, 3)]
     good = F.greatest(*(F.coalesce((x.isNull() | (x < 0) | (x > k)).cast("int"), F.lit(1)) for k, x in zip((1, 2, 3), d, strict=True))) == 0
     return c.select(*(F.when(good, x).otherwise(F.lit(f)).alias(f"d{k}") for k, x, f in zip((1, 2, 3), d, FALLBACK, strict=True)))
 

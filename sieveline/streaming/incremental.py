@@ -20,9 +20,9 @@ from ..sources.files import JSON_GLOB, parsed
 
 
 def read_stream(spark: SparkSession, root: str, files_per_batch: int = 64) -> DataFrame:
-    """(raw, _shard, _line_num) of new JSON Lines files; numbers order the lines of a batch."""
+    """(raw, _shard) of the lines of new JSON Lines files."""
     lines = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", JSON_GLOB).option("maxFilesPerTrigger", files_per_batch).text(root)
-    return lines.where(F.trim("value") != "").select(F.col("value").alias("raw"), F.col("_metadata.file_name").alias("_shard"), F.monotonically_increasing_id().alias("_line_num"))
+    return lines.where(F.trim("value") != "").select(F.col("value").alias("raw"), F.col("_metadata.file_name").alias("_shard"))
 
 
 def _keys(spark: SparkSession, path: str, below: int) -> DataFrame:
@@ -38,12 +38,13 @@ def batch_writer(cfg: Config, on_batch: Callable[[int, DataFrame], None] | None
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         keys = cfg.output("keys")
-        marked = mark_exact(parsed(batch, cfg.text_key).withColumn("__order", F.struct("_shard", "_line_num")), F.col("text"), ["_shard", "_line_num"])
+        lines = batch.withColumn("_line_num", F.monotonically_increasing_id())  # orders the lines of a batch
+        marked = mark_exact(parsed(lines, cfg.text_key), F.col("text"), ["_shard", "_line_num"])
         key = F.sha2(exact_key(F.col("text")), 256)
         seen = _keys(spark, keys, number).select(F.col("key").alias("__seen")).distinct()
         marked = marked.withColumn("__key", key).join(seen, F.col("__key") == F.col("__seen"), "left")
         marked = marked.withColumn("is_exact_dup", F.col("is_exact_dup") | F.col("__seen").isNotNull())
-        decided = decide(marked.drop("__seen", "__order"), cfg, marked_exact=True)
+        decided = decide(marked.drop("__seen"), cfg, marked_exact=True)
         out = f"{cfg.output('decided')}/batch={number}"
         decided.drop("__key").write.mode("overwrite").parquet(out)
         new = marked.where("__key is not null and not is_exact_dup").select(F.col("__key").alias("key")).distinct()
