@@ -2,13 +2,14 @@
 
 All classes are spelled out, so that Java's regular expressions mean what
 Unicode says and no flag decides what white space is. A class is counted as
-the length left when the runs of everything else are removed, which visits
-runs and not characters.
+the length lost when its runs are removed, which visits runs and not
+characters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def words(text: Column) -> Column:
 
 def count_of(text: Column, inside: str) -> Column:
     """Characters of a class, given as the inside of its brackets."""
-    return F.length(F.regexp_replace(text, f"[^{inside}]+", ""))
+    return F.length(text) - F.length(F.regexp_replace(text, f"[{inside}]+", ""))
 
 
 def ignoring_case(pattern: str) -> str:
@@ -79,6 +80,25 @@ def ignoring_case(pattern: str) -> str:
     return "(?iu)" + pattern.replace(r"\s", f"[{SPACE}]").replace(r"\w", r"[\p{L}\p{N}_]")
 
 
+def boilerplate_hits(text: Column, patterns: Sequence[str]) -> Column:
+    """How many of the patterns a text has, whatever its case.
+
+    The text is folded once; a pattern is tried only where the folded text
+    holds the letters it begins with, which any match does.
+    """
+    folded = F.translate(F.lower(text), "ıſ\u0307", "is")
+
+    def hits(t: Column) -> Column:
+        out = F.lit(0).cast("bigint")
+        for p in patterns:
+            start = re.match(r"\w*", p.replace("ı", "i"))[0]
+            match = F.regexp_like(text, F.lit(ignoring_case(p)))
+            out = out + (F.contains(t, F.lit(start)) & match).cast("bigint")
+        return out
+
+    return let(folded, hits)
+
+
 def top_count(items: Column) -> Column:
     """Count of an array's most frequent item, in one pass over the sorted array."""
     start = F.struct(F.lit(None).cast("string").alias("item"), F.lit(0).alias("run"), F.lit(0).alias("best"))
@@ -87,7 +107,7 @@ def top_count(items: Column) -> Column:
         run = F.when(acc["item"] == x, acc["run"] + 1).otherwise(1)
         return F.struct(x.alias("item"), run.alias("run"), F.greatest(acc["best"], run).alias("best"))
 
-    return F.aggregate(F.array_sort(items), start, step, lambda acc: acc["best"])
+    return F.aggregate(F.sort_array(items), start, step, lambda acc: acc["best"])
 
 
 def features(text: Column, profile: LanguageProfile = TURKISH) -> Column:
@@ -102,7 +122,6 @@ def _features(text: Column, own: Column, lines: Column, spaces: Column, profile:
     chars, n_words = F.length(text), F.size(own)
     per_char = lambda n: round_half_up(n / F.greatest(chars, F.lit(1)), 4)
     per_word = lambda n, d=4: round_half_up(n / F.greatest(n_words, F.lit(1)), d)
-    hits = sum((F.regexp_like(text, F.lit(ignoring_case(p))).cast("bigint") for p in profile.boilerplate), F.lit(0).cast("bigint"))
     long = lambda c: c.cast("bigint")
     values = {
         "char_count": long(chars),
@@ -112,7 +131,7 @@ def _features(text: Column, own: Column, lines: Column, spaces: Column, profile:
         "url_count": long(F.regexp_count(text, F.lit(URL))),
         "email_count": long(F.regexp_count(text, F.lit(EMAIL))),
         "html_tag_count": long(F.regexp_count(text, F.lit(HTML_TAG))),
-        "boilerplate_hits": hits,
+        "boilerplate_hits": boilerplate_hits(text, profile.boilerplate),
         "alpha_ratio": per_char(count_of(text, r"\p{L}")),
         "digit_ratio": per_char(count_of(text, r"\p{Nd}" + OTHER_DIGITS)),
         "punctuation_ratio": per_char(F.length(F.regexp_replace(text, r"[\p{L}\p{N}" + SPACE + "]+", ""))),

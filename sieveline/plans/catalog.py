@@ -19,6 +19,7 @@ from ..operators.decision import label
 from ..sources import files, resolver, sinks
 from ..streaming.incremental import pending
 from .pipeline import decide, featured
+from .storage import spread
 
 CFG = Config()
 #: Thresholds under which more rules fire on clean text.
@@ -35,7 +36,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text", *columns)
+    return spread(table(spark, sf, "documents").select("doc_id", "text", *columns), "doc_id")
 
 
 def predictions() -> Column:

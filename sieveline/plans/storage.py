@@ -36,3 +36,13 @@ def removed(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A small input that a scan leaves in fewer parts than there are cores, over all of them; a larger one as it is.
+
+    A file of one row group is one task however long its rows take; inputs of
+    many row groups are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
