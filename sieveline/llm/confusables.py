@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.storage import stored
 from .textvec import arrow, docs_in, rows_of
 
 #: Letters of other scripts, then the Latin letters that they imitate.
@@ -105,18 +106,20 @@ def lookalikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """Pairs of different raw texts with one skeleton, doc_a < doc_b.
 
     Raw texts are first counted within their skeleton by a partial aggregation,
-    so a large group of plain copies leaves the plan as one row; only members
-    of skeletons with several raw texts are joined, and what comes out of a
-    join is a pair of the result.
+    so a large group of plain copies leaves the plan as one row. Pairs are made
+    of raw texts, and only then of the documents that hold them: copies of one
+    text never meet each other, and what comes out of a join is a pair of the
+    result.
     """
     found = keys(df, id_col, text_col)
     several = found.groupBy("skeleton").agg(F.min("raw").alias("least"), F.max("raw").alias("most")).where("least <> most").select("skeleton")
-    members = found.join(several, "skeleton", "left_semi").distinct()
-    a, b = members.alias("a"), members.alias("b")
-    return (
-        a.join(b, (F.col("a.skeleton") == F.col("b.skeleton")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.raw") != F.col("b.raw")))
-        .select(F.col("a.doc_id").alias("doc_a"), F.col("b.doc_id").alias("doc_b"))
-    )
+    members = stored(found.join(several, "skeleton", "left_semi").distinct(), "lookalikes")
+    forms = members.select("skeleton", "raw").distinct()
+    a, b = forms.toDF("skeleton", "raw_a"), forms.toDF("skeleton", "raw_b")
+    pairs = a.join(b, "skeleton").where("raw_a < raw_b").select("raw_a", "raw_b")
+    of = lambda side: members.select(F.col("doc_id").alias(side), F.col("raw").alias(f"raw_{side}"))
+    whole = pairs.join(of("a"), "raw_a").join(of("b"), "raw_b")
+    return whole.where("a <> b").select(F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b"))
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
