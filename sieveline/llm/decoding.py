@@ -48,19 +48,17 @@ TYPOGRAPHY = "¿¡ºª…–—‘’“”„«»‹›·•°§©®™€№
 CYRILLIC = "".join(map(chr, range(0x410, 0x450))) + "ёЁ"
 _LEGACY_ONLY = "■"  # a bullet to typographers, but also the commonest wrong reading of ş
 
+#: Character sets that texts are wrongly read as, and 8-bit sets they are written in.
+READ_AS = ("cp1252", "cp1254", "cp437", "cp850", "cp857", "cp866", "cp1251", "koi8-r", "cp1250", "cp1253", "cp1257", "cp852", "iso8859-2", "iso8859-5", "iso8859-7", "mac-roman", "mac-turkish", "mac-cyrillic")
+WRITTEN_IN = ("cp1254", "cp1252", "cp1251", "koi8-r", "cp866", "cp857", "cp850", "iso8859-5", "mac-turkish")
 #: (wrongly read as, written in) of the steps. What a character set leaves undefined stands for its own byte.
-STEPS = tuple(
-    [(a, "utf-8") for a in ("cp1252", "cp1254", "cp437", "cp850", "cp857", "cp866", "cp1251", "koi8-r", "mac-roman")]
-    + [(a, "cp1254") for a in ("cp1252", "cp850", "cp857", "cp437", "cp1250", "cp1251", "mac-roman")]
-    + [("cp1252", "cp857"), ("cp1254", "cp857"), ("cp850", "cp1252"), ("cp437", "cp1252"), ("cp1252", "cp850"), ("mac-roman", "cp1252")]
-    + [("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("cp1252", "cp1251"), ("cp1252", "koi8-r"), ("cp1252", "cp866"), ("mac-roman", "cp1251")]
-)
+STEPS = tuple([(a, "utf-8") for a in READ_AS] + [(a, b) for b in WRITTEN_IN for a in READ_AS if a != b])
 _RUN = re.compile("[^\x00-\x7f]+")
 _CYRILLIC_RUN = re.compile("[Ѐ-ӿ]")
 _LONE = re.compile(r"(?:^|(?<=\s))\?(?=\s|$)")
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=512)
 def _bytes_of(charset: str) -> dict[str, int]:
     out = {}
     for b in range(128, 256):
@@ -73,7 +71,7 @@ def _bytes_of(charset: str) -> dict[str, int]:
     return out
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=512)
 def _map(wrong: str, right: str) -> dict[int, str]:
     out = {}
     for c, b in _bytes_of(wrong).items():
@@ -86,7 +84,7 @@ def _map(wrong: str, right: str) -> dict[int, str]:
     return out
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=512)
 def _letters_of(wrong: str, right: str) -> frozenset[str]:
     return frozenset(map(chr, _map(wrong, right)))
 
@@ -144,7 +142,20 @@ def odd_table() -> np.ndarray:
 def _odd() -> re.Pattern[str]:
     table = odd_table()
     low = "".join(re.escape(chr(i)) for i in np.flatnonzero(table[:0x3000]))
-    return re.compile(f"[{low}\\ue000-\\uf8ff\\ufff0-\\uffff]")
+    own = f"[{low}\\ue000-\\uf8ff\\ufff0-\\uffff]"
+    # Cyrillic without a Latin twin, inside a Latin word
+    cyrillic = "[" + "".join(c for c in CYRILLIC if c not in confusables.CYRILLIC[0]) + "]"
+    latin = f"[A-Za-z{LETTERS}]"
+    return re.compile(f"{own}|(?<={latin}){cyrillic}|{cyrillic}(?={latin})")
+
+
+@lru_cache(maxsize=1)
+def _scripts() -> np.ndarray:
+    """1 for Latin letters, 2 for Cyrillic ones without a Latin twin."""
+    table = np.zeros(TABLE_END, np.uint8)
+    table[[*range(65, 91), *range(97, 123), *map(ord, LETTERS)]] = 1
+    table[[ord(c) for c in CYRILLIC if c not in confusables.CYRILLIC[0]]] = 2
+    return table
 
 
 class Coder:
@@ -197,6 +208,10 @@ def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str]
     odd = len(_odd().findall(text))
     langs = coder.near(text)
     best, chain = coder.size(text, langs) + ODD * odd, ()
+    if not any(odd_table()[min(ord(c), TABLE_END - 1)] for c in set(text)):
+        # only words of two scripts are odd: look-alike letters may be all there is to it
+        plain = confusables.normal_form(confusables.skeleton(text))
+        best = min(best, coder.size(plain, langs) + ODD * len(_odd().findall(plain)))
     tried, front = {text}, [(best, (), text, odd)]
     for depth in range(1, DEPTH + 1):
         found = []
@@ -267,12 +282,15 @@ def repaired_lines(text: str, coder: Coder) -> list[tuple[int, str | None, str]]
 
 
 def odd_documents(block: Block) -> np.ndarray:
-    """Documents of a block with an odd character, or with capital Cyrillic letters in number."""
+    """Documents of a block with an odd character, words of two scripts, or capital Cyrillic letters in number."""
     cp = block.clipped()
+    script = _scripts()[cp]
+    mixed = np.zeros(len(cp), bool)
+    mixed[1:] = script[1:] + script[:-1] == 3
     total = lambda m: np.add.reduceat(m, block.start, dtype=np.int64)
     capital, small = (cp >= 0x410) & (cp < 0x430), (cp >= 0x430) & (cp < 0x450)
     upper = total(capital)
-    return np.flatnonzero((total(odd_table()[cp]) > 0) | (upper > 5) & (upper > 0.25 * total(small)))
+    return np.flatnonzero((total(odd_table()[cp] | mixed) > 0) | (upper > 5) & (upper > 0.25 * total(small)))
 
 
 def _finder(texts: dict[str, bytes]):
