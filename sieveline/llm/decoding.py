@@ -43,7 +43,7 @@ BEAM = 3
 DICTIONARY = 160_000
 
 #: What the languages and their typography write beyond ASCII.
-LETTERS = "çğıöşüÇĞİÖŞÜâîûÂəƏäÄßàæéèêëïôœùÿÀÉÈÊÎÔáíñóúÁÍÑÓÚ"
+LETTERS = "çğıöşüÇĞİÖŞÜâîûəƏäÄßàæéèêëïôœùÿÀÉÈÊÎÔáíñóúÁÍÑÓÚ"
 TYPOGRAPHY = "¿¡ºª…–—‘’“”„«»‹›·•°§©®™€№▸●■▪◦→"
 CYRILLIC = "".join(map(chr, range(0x410, 0x450))) + "ёЁ"
 _LEGACY_ONLY = "■"  # a bullet to typographers, but also the commonest wrong reading of ş
@@ -140,13 +140,15 @@ def odd_table() -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _odd() -> re.Pattern[str]:
-    table = odd_table()
+    table = odd_table().copy()
+    table[ord("Â")] = False
     low = "".join(re.escape(chr(i)) for i in np.flatnonzero(table[:0x3000]))
     own = f"[{low}\\ue000-\\uf8ff\\ufff0-\\uffff]"
     # Cyrillic without a Latin twin, inside a Latin word
     cyrillic = "[" + "".join(c for c in CYRILLIC if c not in confusables.CYRILLIC[0]) + "]"
     latin = f"[A-Za-z{LETTERS}]"
-    return re.compile(f"{own}|(?<={latin}){cyrillic}|{cyrillic}(?={latin})")
+    # Â begins a word or stands in one; before anything else it is the first byte of a pair
+    return re.compile(f"{own}|Â(?![^\\W\\d_])|(?<={latin}){cyrillic}|{cyrillic}(?={latin})")
 
 
 @lru_cache(maxsize=1)

@@ -1,7 +1,7 @@
-"""Fits the block labeller's weights: python -m sieveline.llm.fit_blocks TABLES [OUT].
+"""Fits the block labeller's weights: python -m sieveline.llm.fit_blocks OUT TABLES...
 
 No page comes labelled, so a teacher labels a bounded sample of documents
-(``DOCUMENTS``) by what recurs: lines that, numbers and names aside, stand in
+(``DOCUMENTS`` of each folder of tables) by what recurs: lines that, numbers and names aside, stand in
 many different pages are furniture, as are rows made of cells that do, lines
 that begin with one, and the titles that follow a heading which recurs above
 ever other titles. The network learns from those labels what such lines look
@@ -17,11 +17,11 @@ from collections.abc import Sequence
 
 import numpy as np
 
-from .blocks import BUCKETS, HIDDEN, SHAPE, WEIGHTS, WIDTH, Labeller, Leaves, recur
+from .blocks import BUCKETS, HIDDEN, SHAPE, WIDTH, Labeller, Leaves, recur
 from .textvec import blocks
 
 DOCUMENTS = 12_000
-EPOCHS = 16
+EPOCHS = 9
 RECURS = 10
 _CELL = re.compile(r"\s*[|>»·]\s*|\s{2,}")
 _TEASER = re.compile(r"^[▸›+?]\s.*\(\d+\)$")
@@ -246,16 +246,21 @@ def sample_of(tables: str) -> list[str]:
     return out
 
 
-def main(tables: str, out: str = str(WEIGHTS)) -> None:
-    texts = sample_of(tables)
+def main(out: str, *folders: str) -> None:
+    texts = [t for f in folders for t in sample_of(f)]
+    np.random.default_rng(1).shuffle(texts)
     teacher = Teacher(texts)
     teacher.learn_inline(texts)
     labels = [teacher.labels(t) for t in texts]
     cut = len(texts) * 9 // 10
-    # pages whose letters were lost to a wrong decoding are read as they are: some are learned that way
-    lost = [i for i in range(cut) if any(labels[i])][::4]
-    learned = texts[:cut] + [re.sub(r"[^\x00-\x7f]", lambda m: "\ufffd" if m[0].isalpha() else m[0], texts[i]) for i in lost]
-    w = fit(learned, labels[:cut] + [labels[i] for i in lost])
+    pages = [i for i in range(cut) if any(labels[i])]
+    # pages in the rarer languages count twice, documents that are no pages a third; pages whose letters were lost
+    # to a wrong decoding are read as they are, so some are learned that way
+    rare = [i for i in pages if not re.search("[ışğİŞĞ]", texts[i])]
+    learned = pages + rare + [i for i in range(0, cut, 3) if not any(labels[i])]
+    lost = pages[::4]
+    gone = [re.sub(r"[^\x00-\x7f]", lambda m: "\ufffd" if m[0].isalpha() else m[0], texts[i]) for i in lost]
+    w = fit([texts[i] for i in learned] + gone, [labels[i] for i in learned + lost])
     print("precision, recall on the rest:", agreement(Labeller(w), texts[cut:], labels[cut:]))
     np.savez_compressed(out, **{k: v.astype(np.float16) for k, v in w.items()})
 

@@ -99,7 +99,7 @@ def test_many_copies_become_a_star(spark, monkeypatch):
     copy = "aynı metin birçok kez durur ve hiç değişmez"
     texts = [copy] * 6 + [copy + "!"] * 2
     got = pairs(similarity.near_duplicates(docs(spark, texts)))
-    assert got == sorted([(0, i) for i in range(1, 6)] + [(6, 7)] + [(i, 6) for i in range(6)] + [(0, 7)])
+    assert got == sorted([(0, i) for i in range(1, 6)] + [(6, 7), (0, 6), (0, 7)])
 
 
 def test_groups_follow_links(spark):
