@@ -109,9 +109,9 @@ def select(ranked: Iterable[tuple[str, int]], base_vocab: set[str], base_merges:
 
 def assigned(base: DataFrame, tokens: DataFrame, order: str = "place") -> DataFrame:
     """(token, id) of the extended vocabulary: new tokens follow the base's greatest id in their order."""
-    top = base.agg(F.coalesce(F.max("id"), F.lit(-1)).alias("top"))
+    top = base.agg(F.coalesce(F.max("id"), F.lit(-1))).first()[0]
     w = Window.partitionBy(F.lit(0)).orderBy(order)  # as many rows as tokens are added
-    new = tokens.withColumn("n", F.row_number().over(w)).join(F.broadcast(top)).select("token", (F.col("top") + F.col("n")).cast("bigint").alias("id"))
+    new = tokens.select("token", (F.lit(top) + F.row_number().over(w)).cast("bigint").alias("id"))
     return base.select("token", F.col("id").cast("bigint").alias("id")).unionByName(new)
 
 
