@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -49,11 +49,12 @@ CYRILLIC = "".join(map(chr, range(0x410, 0x450))) + "ёЁ"
 _LEGACY_ONLY = "■"  # a bullet to typographers, but also the commonest wrong reading of ş
 
 #: Character sets that texts are wrongly read as, and 8-bit sets they are written in.
-READ_AS = ("cp1252", "cp1254", "cp437", "cp850", "cp857", "cp866", "cp1251", "koi8-r", "cp1250", "cp1253", "cp1257", "cp852", "iso8859-2", "iso8859-5", "iso8859-7", "mac-roman", "mac-turkish", "mac-cyrillic")
-WRITTEN_IN = ("cp1254", "cp1252", "cp1251", "koi8-r", "cp866", "cp857", "cp850", "iso8859-5", "mac-turkish")
+READ_AS = ("cp1252", "cp1254", "cp437", "cp850", "cp857", "cp866", "cp1251", "koi8-r", "cp1250", "cp1253", "cp1257", "cp852", "iso8859-2", "iso8859-5", "iso8859-7", "mac-roman")
+WRITTEN_IN = ("cp1254", "cp1252", "cp1251", "koi8-r", "cp866", "cp857")
 #: (wrongly read as, written in) of the steps. What a character set leaves undefined stands for its own byte.
 STEPS = tuple([(a, "utf-8") for a in READ_AS] + [(a, b) for b in WRITTEN_IN for a in READ_AS if a != b])
 _RUN = re.compile("[^\x00-\x7f]+")
+_CUT = re.compile("([^\x00-\x7f]+)")
 _CYRILLIC_RUN = re.compile("[Ѐ-ӿ]")
 _LONE = re.compile(r"(?:^|(?<=\s))\?(?=\s|$)")
 
@@ -89,19 +90,49 @@ def _letters_of(wrong: str, right: str) -> frozenset[str]:
     return frozenset(map(chr, _map(wrong, right)))
 
 
-def undo(text: str, wrong: str, right: str) -> str:
-    """The text with each run of non-ASCII characters decoded anew, where its bytes allow it."""
+def _decoded(run: str, wrong: str, right: str) -> str:
+    """A run of non-ASCII characters decoded anew, where its bytes allow it."""
     if right != "utf-8":
-        return text.translate(_map(wrong, right))
+        table = _map(wrong, right)
+        return "".join(table.get(ord(c), c) for c in run)
     table = _bytes_of(wrong)
+    try:
+        return bytes([table[c] for c in run]).decode("utf-8")
+    except (KeyError, UnicodeDecodeError):
+        return _sequences(run, table)
 
-    def decoded(m: re.Match[str]) -> str:
-        try:
-            return bytes([table[c] for c in m[0]]).decode("utf-8")
-        except (KeyError, UnicodeDecodeError):
-            return _sequences(m[0], table)
 
-    return _RUN.sub(decoded, text)
+class Runs:
+    """A text cut at its runs of non-ASCII characters, of which few differ; each is decoded once a step."""
+
+    def __init__(self, text: str) -> None:
+        self.parts = _CUT.split(text)
+        self.counts = Counter(self.parts[1::2])
+        self.seen: set[tuple[str, ...]] = {tuple(self.counts)}
+        self.length = len(text)
+
+    def undone(self, wrong: str, right: str) -> tuple[Callable[[], str] | None, int, int]:
+        """The decoded text (made when called), at least how many odd characters it has, and its length; None for one seen before."""
+        new = {r: _decoded(r, wrong, right) for r in self.counts}
+        made = tuple(new.values())
+        if made in self.seen:
+            return None, 0, 0
+        self.seen.add(made)
+        table = odd_table()
+        odd = sum(k * sum(c != "Â" and table[min(ord(c), TABLE_END - 1)] for c in new[r]) for r, k in self.counts.items())
+        length = self.length + sum(k * (len(new[r]) - len(r)) for r, k in self.counts.items())
+
+        def text() -> str:
+            parts = list(self.parts)
+            parts[1::2] = [new[r] for r in parts[1::2]]
+            return "".join(parts)
+
+        return text, int(odd), length
+
+
+def undo(text: str, wrong: str, right: str) -> str:
+    """The text with each run of non-ASCII characters decoded anew."""
+    return _RUN.sub(lambda m: _decoded(m[0], wrong, right), text)
 
 
 def _sequences(run: str, table: dict[str, int]) -> str:
@@ -218,19 +249,24 @@ def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str]
     for depth in range(1, DEPTH + 1):
         found = []
         for _, steps, old, n in front:
+            runs = Runs(old)
             counts = Counter(_odd().findall(old))
             for step in STEPS:
                 table = _bytes_of(step[0]) if step[1] == "utf-8" else _letters_of(*step)
                 if 2 * sum(k for c, k in counts.items() if c in table) < n:
                     continue  # it would leave most odd characters as they are
-                new = undo(old, *step)
-                if new in tried:
+                new, least_odd, length = runs.undone(*step)
+                shorter = step[1] == "utf-8" and length < len(old)
+                if new is None or least_odd > 0.5 * n and not shorter and not cyrillic:
+                    continue
+                text_of = new()
+                if text_of in tried:
                     continue
-                tried.add(new)
-                left = len(_odd().findall(new))
-                if left > 0.5 * n and not (step[1] == "utf-8" and len(new) < len(old)) and not cyrillic:
+                tried.add(text_of)
+                left = len(_odd().findall(text_of))
+                if left > 0.5 * n and not shorter and not cyrillic:
                     continue
-                found.append((coder.size(new, langs) + ODD * left + STEP * depth, (*steps, step), new, left))
+                found.append((coder.size(text_of, langs) + ODD * left + STEP * depth, (*steps, step), text_of, left))
         found.sort(key=lambda x: x[:2])
         if found and found[0][0] < best:
             best, chain = found[0][:2]

@@ -126,9 +126,8 @@ def line_sums(block: Block, language: Language, left: np.ndarray | None = None,
     digit = _digits()[cp]
     alnum = alnum_table()[cp]
     gap = (cp == 32) & ~before_space & after_space & np.concatenate((inside[1:], [False]))
-    gap |= (cp == 9) & False
 
-    stop_at = np.flatnonzero(((cp == 10) & inside ^ (cp == 10)) | block._is_end())
+    stop_at = np.flatnonzero((cp == 10) | block._is_end())
     s = np.concatenate(([0], stop_at[:-1] + 1)).astype(np.int64)
     doc = np.searchsorted(block.end, stop_at, side="left")
 
