@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import SPACE
 from ..plans.storage import fresh_path, removed
 from .textvec import U64, Block, arrow, blocks, docs_in, first_of_runs, mix, read, signed, sliding_min
 
@@ -240,6 +241,7 @@ def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def shares(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each document with a text, how many of its characters are shared."""
-    own = docs_in(df, id_col, text_col).select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
+    filled = docs_in(df, id_col, text_col).where(F.regexp_replace("text", f"[{SPACE}]+", "") != "")
+    own = filled.select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
     n = spans.groupBy("doc_id").agg(F.sum(F.col("span_end") - F.col("span_start")).alias("shared"))
     return own.join(n, "doc_id", "left").select("doc_id", "n_chars", F.coalesce("shared", F.lit(0)).alias("shared_chars"), (F.coalesce("shared", F.lit(0)) / F.col("n_chars")).alias("shared_share"))
