@@ -9,8 +9,10 @@ Where none is shorter than the text as it stands, the text is left unchanged.
 
 The dictionaries are the labelled passages and a bounded labelled sample of
 the documents (``labels.PER_LANGUAGE``). Only lines with characters that none
-of the languages writes, or with Cyrillic in inverted case, are odd; in a
-document with a chain, the chain is tried on every other line as well.
+of the languages writes, or with Cyrillic in inverted case, are odd, however
+long the rest of the document is; in a document with a chain, the chain is
+tried on every other line as well. A line all in capitals is compared as if in
+small letters, so that a heading is not taken for inverted case.
 
 Defined results: null, empty and blank texts take no part; lines are split at
 line feeds and counted from 0; a lost original gives a null ``repaired``; rows
@@ -56,6 +58,8 @@ STEPS = tuple([(a, "utf-8") for a in READ_AS] + [(a, b) for b in WRITTEN_IN for
 _RUN = re.compile("[^\x00-\x7f]+")
 _CUT = re.compile("([^\x00-\x7f]+)")
 _CYRILLIC_RUN = re.compile("[Ѐ-ӿ]")
+#: A Cyrillic word that begins small and goes on in capitals.
+_INVERTED_WORD = re.compile(r"(?<![^\W\d_])[а-яё][А-ЯЁ]")
 _LONE = re.compile(r"(?:^|(?<=\s))\?(?=\s|$)")
 
 
@@ -236,11 +240,19 @@ def _inverted(line: str) -> bool:
     return len(letters) > 5 and sum(c.isupper() for c in letters) > 0.5 * len(letters)
 
 
+def _plain_size(line: str, coder: Coder) -> int:
+    """The size of a line as it stands; capitals of a heading cost no more than small letters."""
+    return min(coder.size(line), coder.size(line.lower())) if _inverted(line) else coder.size(line)
+
+
 def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str], ...]:
     """The chain with the least description of an odd text; empty where it is best left unchanged."""
     odd = len(_odd().findall(text))
     langs = coder.near(text)
     best, chain = coder.size(text, langs) + ODD * odd, ()
+    if cyrillic:  # a clean heading in capitals costs no more than in small letters; a word of inverted case is odd
+        inverted = len(_INVERTED_WORD.findall(text))
+        best = min(best + ODD * inverted, coder.size(text.lower(), langs) + ODD * inverted)
     if not any(odd_table()[min(ord(c), TABLE_END - 1)] for c in set(text)):
         # only words of two scripts are odd: look-alike letters may be all there is to it
         plain = confusables.normal_form(confusables.skeleton(text))
@@ -293,7 +305,12 @@ def repaired_lines(text: str, coder: Coder) -> list[tuple[int, str | None, str]]
         if not open_lines:
             break
         joined = "\n".join(lines[i] for i in sorted(open_lines))
-        chain = best_chain(joined, coder, not _odd().search(joined))
+        # neither headings in capitals nor odd lines of another kind may outweigh the lines whose words show inverted case
+        inverted = "\n".join(lines[i] for i in sorted(open_lines) if _INVERTED_WORD.search(lines[i]) and not _odd().search(lines[i]))
+        if _odd().search(joined):
+            chain = best_chain(joined, coder, False) or inverted and best_chain(inverted, coder, True)
+        else:
+            chain = best_chain(inverted or joined, coder, True)
         if not chain:
             break
         chains.append(chain)
@@ -304,7 +321,7 @@ def repaired_lines(text: str, coder: Coder) -> list[tuple[int, str | None, str]]
             new = apply(line, chain)
             if new == line:
                 continue
-            if i in open_lines and len(_odd().findall(new)) < max(1, len(_odd().findall(line))) or coder.size(new) < coder.size(line):
+            if i in open_lines and (len(_odd().findall(new)) < len(_odd().findall(line)) or _INVERTED_WORD.search(line) and not _odd().search(new)) or coder.size(new) < _plain_size(line, coder):
                 out[i] = (None if "�" in line else new, name)
         if not open_lines & set(out):
             break
@@ -319,16 +336,25 @@ def repaired_lines(text: str, coder: Coder) -> list[tuple[int, str | None, str]]
     return sorted((i, fixed, how) for i, (fixed, how) in out.items())
 
 
+@lru_cache(maxsize=1)
+def _cyrillic_capitals() -> np.ndarray:
+    return np.fromiter((0x400 <= i < 0x500 and chr(i).isupper() for i in range(TABLE_END)), bool, TABLE_END)
+
+
 def odd_documents(block: Block) -> np.ndarray:
-    """Documents of a block with an odd character, words of two scripts, or capital Cyrillic letters in number."""
+    """Documents of a block with an odd character, words of two scripts, or a line of Cyrillic in inverted case."""
     cp = block.clipped()
     script = _scripts()[cp]
     mixed = np.zeros(len(cp), bool)
     mixed[1:] = script[1:] + script[:-1] == 3
-    total = lambda m: np.add.reduceat(m, block.start, dtype=np.int64)
-    capital, small = (cp >= 0x410) & (cp < 0x430), (cp >= 0x430) & (cp < 0x450)
-    upper = total(capital)
-    return np.flatnonzero((total(odd_table()[cp] | mixed) > 0) | (upper > 5) & (upper > 0.25 * total(small)))
+    odd = np.add.reduceat(odd_table()[cp] | mixed, block.start, dtype=np.int64) > 0
+    cyrillic = (cp >= 0x400) & (cp < 0x500)
+    if cyrillic.any():  # the test of _inverted, for every line
+        s, e, doc, _ = block.lines()
+        sums = lambda m: (lambda c: c[e] - c[s])(np.concatenate(([0], np.cumsum(m))))
+        letters = sums(cyrillic)
+        odd[doc[(letters > 5) & (sums(_cyrillic_capitals()[cp]) > 0.5 * letters)]] = True
+    return np.flatnonzero(odd)
 
 
 def _finder(texts: dict[str, bytes]):

@@ -223,6 +223,15 @@ def test_decoding_round_trips(spark, fixed, real):
     assert back[1] == TR and back[2] == TR
 
 
+def test_a_damaged_cyrillic_line_in_a_long_document(spark, fixed):
+    clean = "Это был старый город, который очень долго строил новый мост через широкую реку."
+    heads = ["НОВОСТИ ДНЯ", "ГЛАВНЫЕ СОБЫТИЯ НЕДЕЛИ", "СОВЕТ МИНИСТРОВ ПРИНЯЛ ПОСТАНОВЛЕНИЕ О РАЗВИТИИ ГОРОДА"]
+    bad = "Вчера вечером школьники помогли соседям убрать снег во дворе."
+    lines = [*heads, *[clean] * 20, bad.encode("koi8-r").decode("cp1251"), *[clean] * 20]
+    df = docs(spark, ["\n".join(lines), "\n".join([*heads, *[clean] * 20]), *heads])
+    assert pairs(decoding.damaged_lines(df, fixed[1]).select("doc_id", "line_no", "repaired")) == [(0, 23, bad)]
+
+
 # --- statistics ---------------------------------------------------------------------------------
 
 
