@@ -119,22 +119,22 @@ class SpanIndex:
         return merged(whole.union(self._verified(texts)))
 
     def _matched(self) -> tuple[DataFrame, DataFrame]:
-        """Spans settled by their whole text, and the texts to verify: those not settled, and one of each settled text beside them."""
+        """Spans settled by their whole text, and the texts to verify: those not settled, and beside them two of each settled text, in different documents, one of which is another than an open text's."""
         by_h, by_text = Window.partitionBy("h"), Window.partitionBy("h", "c")
         settled = F.col("c_least") != F.col("c_most")
         rows = (
             self.rows()
             .select("*", F.min("doc_id").over(by_h).alias("least"), F.max("doc_id").over(by_h).alias("most"))
             .where("least <> most")
-            .select("h", "c", "doc_id", "s", "e", F.min("doc_id").over(by_text).alias("c_least"), F.max("doc_id").over(by_text).alias("c_most"), F.min(F.struct("doc_id", "s")).over(by_text).alias("one"))
+            .select("h", "c", "doc_id", "s", "e", F.min("doc_id").over(by_text).alias("c_least"), F.max("doc_id").over(by_text).alias("c_most"), F.min(F.struct("doc_id", "s")).over(by_text).alias("one"), F.max(F.struct("doc_id", "s")).over(by_text).alias("other"))
             .select("*", F.count(F.when(~settled, 1)).over(by_h).alias("n_open"))
         )
         path = fresh_path(self.spark, "matched")
-        rows.select("h", "doc_id", "s", "e", (~settled).alias("open"), "n_open", (F.struct("doc_id", "s") == F.col("one")).alias("one")).write.parquet(path)
+        rows.select("h", "doc_id", "s", "e", (~settled).alias("open"), "n_open", F.struct("doc_id", "s").isin(F.col("one"), F.col("other")).alias("kept")).write.parquet(path)
         rows = self.spark.read.parquet(path)
         whole = rows.where("not open").select("doc_id", "s", "e")
         n = F.count("*").over(Window.partitionBy("h"))
-        return whole, rows.where("n_open > 0 and (open or one)").select("h", "doc_id", "s", "e", "open", n.alias("n"))
+        return whole, rows.where("n_open > 0 and (open or kept)").select("h", "doc_id", "s", "e", "open", n.alias("n"))
 
     def _verified(self, texts: DataFrame) -> DataFrame:
         small = texts.where(F.col("n") <= GROUP_ROWS).repartition("h").sortWithinPartitions("h").mapInArrow(_verify(self.window), "doc_id bigint, s bigint, e bigint")

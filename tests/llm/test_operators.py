@@ -394,6 +394,27 @@ def test_spans_equal_brute_force(spark, window):
     assert got == brute_spans(rows, window)
 
 
+def _twice_texts():
+    """A paragraph twice in one document and once in another."""
+    rng = random.Random(17)
+    passage = lambda n: "".join(rng.choice("abcçdefgğhıijklmnoöprsştuüvyz ") for _ in range(n))
+    texts = []
+    for _ in range(20):
+        p, z = passage(700), passage(300)
+        pages = [p + z + passage(200) + p + passage(300), passage(90) + p + z]
+        texts += pages if rng.random() < 0.5 else pages[::-1]
+    return texts
+
+
+def test_spans_repeated_in_their_own_document(spark, monkeypatch):
+    texts = _twice_texts()
+    want = brute_spans(list(enumerate(texts)), 250)
+    found = lambda: pairs(spans.shared_spans(docs(spark, texts)).select("doc_id", "span_start", "span_end"))
+    assert found() == want
+    monkeypatch.setattr(spans, "GROUP_ROWS", 2)  # the way of large groups
+    assert found() == want
+
+
 def test_index_is_the_same_in_any_batches_and_compacted(spark, monkeypatch):
     texts = _span_texts()
     df = docs(spark, texts)
