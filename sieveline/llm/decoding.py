@@ -9,7 +9,8 @@ Where none is shorter than the text as it stands, the text is left unchanged.
 
 The dictionaries are the labelled passages and a bounded labelled sample of
 the documents (``labels.PER_LANGUAGE``). Only lines with characters that none
-of the languages writes, or with Cyrillic in inverted case, are odd, however
+of the languages writes, with usual ones in a row that only a wrongly read UTF-8
+sequence puts there, or with Cyrillic in inverted case, are odd, however
 long the rest of the document is; in a document with a chain, the chain is
 tried on every other line as well. A line all in capitals is compared as if in
 small letters, so that a heading is not taken for inverted case.
@@ -25,6 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -173,6 +175,52 @@ def odd_table() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def _readings() -> dict[str, str]:
+    """UTF-8 sequences of two and three bytes whose wrong reading holds usual characters only, and what they stand for."""
+    usual, out = _usual(), {}
+    for wrong in READ_AS:
+        of: dict[int, list[str]] = {}
+        for c, b in _bytes_of(wrong).items():
+            if c in usual:
+                of.setdefault(b, []).append(c)
+        for new in (*LETTERS, *TYPOGRAPHY, *CYRILLIC):
+            if new in usual:
+                for old in product(*(of.get(b, ()) for b in new.encode())):
+                    out["".join(old)] = new
+    return out
+
+
+@lru_cache(maxsize=1)
+def _sequence() -> str:
+    """A pattern of such sequences, where no text would have their characters side by side.
+
+    Two-byte ones of a mark after a letter take more: a Latin letter that does
+    not end a word in capitals, a Cyrillic one before a Latin word, or two in a
+    row where they stand for Cyrillic, whose letters seldom stand alone.
+    """
+    of = lambda keep: "|".join(re.escape(k) for k, new in sorted(_readings().items()) if keep(k, new)) or "(?!)"
+    pair = lambda k, new: len(k) == 2 and new not in CYRILLIC
+    capital = "[A-Z" + "".join(c for c in LETTERS if c.isupper()) + "]"
+    own = [c for c in CYRILLIC if c not in confusables.CYRILLIC[0]]
+    ways = (
+        of(lambda k, new: len(k) == 3 or k == "Ä°"),
+        f"(?<!{capital}{capital})(?:{of(lambda k, new: pair(k, new) and k[0] in LETTERS)})",
+        f"(?:{of(lambda k, new: pair(k, new) and k[0] in own and not k[1].isspace())})(?=[A-Za-z{LETTERS}])",
+        f"(?:{of(lambda k, new: new in CYRILLIC)}){{2,}}",
+    )
+    return "(?=[" + "".join(sorted({k[0] for k in _readings()})) + "])(?:" + "|".join(ways) + ")"
+
+
+@lru_cache(maxsize=1)
+def _ends_of_readings() -> tuple[np.ndarray, np.ndarray]:
+    """True for the first, and for the second characters of such sequences."""
+    tables = np.zeros((2, TABLE_END), bool)
+    for k in _readings():
+        tables[0, ord(k[0])] = tables[1, ord(k[1])] = True
+    return tables[0], tables[1]
+
+
 @lru_cache(maxsize=1)
 def _odd() -> re.Pattern[str]:
     table = odd_table().copy()
@@ -183,7 +231,7 @@ def _odd() -> re.Pattern[str]:
     cyrillic = "[" + "".join(c for c in CYRILLIC if c not in confusables.CYRILLIC[0]) + "]"
     latin = f"[A-Za-z{LETTERS}]"
     # Â begins a word or stands in one; before anything else it is the first byte of a pair
-    return re.compile(f"{own}|Â(?![^\\W\\d_])|(?<={latin}){cyrillic}|{cyrillic}(?={latin})")
+    return re.compile(f"{own}|Â(?![^\\W\\d_])|{_sequence()}|(?<={latin}){cyrillic}|{cyrillic}(?={latin})")
 
 
 @lru_cache(maxsize=1)
@@ -253,7 +301,7 @@ def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str]
     if cyrillic:  # a clean heading in capitals costs no more than in small letters; a word of inverted case is odd
         inverted = len(_INVERTED_WORD.findall(text))
         best = min(best + ODD * inverted, coder.size(text.lower(), langs) + ODD * inverted)
-    if not any(odd_table()[min(ord(c), TABLE_END - 1)] for c in set(text)):
+    if not any(odd_table()[min(ord(c), TABLE_END - 1)] for c in set(text)) and not re.search(_sequence(), text):
         # only words of two scripts are odd: look-alike letters may be all there is to it
         plain = confusables.normal_form(confusables.skeleton(text))
         best = min(best, coder.size(plain, langs) + ODD * len(_odd().findall(plain)))
@@ -265,7 +313,7 @@ def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str]
             counts = Counter(_odd().findall(old))
             for step in STEPS:
                 table = _bytes_of(step[0]) if step[1] == "utf-8" else _letters_of(*step)
-                if 2 * sum(k for c, k in counts.items() if c in table) < n:
+                if 2 * sum(k for c, k in counts.items() if all(x in table for x in c)) < n:
                     continue  # it would leave most odd characters as they are
                 new, least_odd, length = runs.undone(*step)
                 shorter = step[1] == "utf-8" and length < len(old)
@@ -342,7 +390,7 @@ def _cyrillic_capitals() -> np.ndarray:
 
 
 def odd_documents(block: Block) -> np.ndarray:
-    """Documents of a block with an odd character, words of two scripts, or a line of Cyrillic in inverted case."""
+    """Documents of a block with an odd character or sequence, words of two scripts, or a line of Cyrillic in inverted case."""
     cp = block.clipped()
     script = _scripts()[cp]
     mixed = np.zeros(len(cp), bool)
@@ -354,6 +402,11 @@ def odd_documents(block: Block) -> np.ndarray:
         sums = lambda m: (lambda c: c[e] - c[s])(np.concatenate(([0], np.cumsum(m))))
         letters = sums(cyrillic)
         odd[doc[(letters > 5) & (sums(_cyrillic_capitals()[cp]) > 0.5 * letters)]] = True
+    first, second = _ends_of_readings()
+    near = np.zeros(len(cp), bool)
+    near[:-1] = first[cp[:-1]] & second[cp[1:]]
+    for d in np.flatnonzero(~odd & np.logical_or.reduceat(near, block.start)):
+        odd[d] = bool(_odd().search(block.texts[d]))
     return np.flatnonzero(odd)
 
 

@@ -232,6 +232,20 @@ def test_a_damaged_cyrillic_line_in_a_long_document(spark, fixed):
     assert pairs(decoding.damaged_lines(df, fixed[1]).select("doc_id", "line_no", "repaired")) == [(0, 23, bad)]
 
 
+def test_damage_in_usual_characters_only(spark, fixed):
+    az = "Bu şəhər çox qədim və gözəl bir yerdir."
+    cases = [
+        ("It’s a very old town and the people of the village didn’t want to leave.", "cp1252"), ("The garden was quiet – nobody talked for a long time.", "cp1252"), ("He said “the rain has started", "cp1252"),
+        ("The garden was quiet — nobody talked for a long time.", "cp850"), ("It’s a very old town and nobody wanted to leave.", "cp866"), ("İstanbul eski bir şehir".replace("ş", "s"), "cp1252"), ("Onlar və biz burada idik.", "cp1252"),
+    ]
+    clean = [TR, EN, az, "“ULUDAĞ” çok yüksek bir dağdır.", "CAFÉ™ ve “KİTAP” – eski bir yer…", "Газета «ПЕТЕРБУРГ», школа «В», класс «Г» и дом.", "НОВЫЙ МИР» и другие", "50°C, §4, l’été – « à Paris »"]
+    texts = [t.encode().decode(wrong) for t, wrong in cases]
+    assert not any(decoding.odd_table()[ord(c)] for t in texts for c in t)
+    df = docs(spark, texts + clean)
+    got = pairs(decoding.damaged_lines(df, fixed[1]).select("doc_id", "line_no", "repaired"))
+    assert got == [(i, 0, t) for i, (t, _) in enumerate(cases)]
+
+
 # --- statistics ---------------------------------------------------------------------------------
 
 
