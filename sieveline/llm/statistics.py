@@ -6,7 +6,8 @@ are whole, the line it begins in and the line it ends in as open sums, and the
 word pieces at its two ends, so a word or a line that was cut counts once, with
 its own properties. States merge up a tree of ``FAN`` chunks a node, so no task
 ever holds a document. Characters whose class depends on their neighbours see
-two characters beyond the cut.
+two characters beyond the cut. Where the whole document looks like no language,
+its chunks are made readable, each by itself, and merged again for its kind.
 
 The common words and the letter trigrams that make a word look like one come
 from two fixed tables, the common words and the labelled passages, whose rows
@@ -321,11 +322,18 @@ def chunk_state(text: str, left: int, right: int, language: Language) -> dict:
     return {"sums": inner, "head": lines[0], "tail": lines[-1] if broken else np.zeros(len(LINE)), "broken": broken, "first_word": first, "last_word": last}
 
 
-def _chunk_states(fixed: Fixed):
+def _readable_chunk(text: str, left: int, right: int, coder: decoding.Coder) -> str:
+    """A chunk made readable between its context, which stays."""
+    end = len(text) - right
+    return text[:left] + _readable([text[left:end]], coder)[0] + text[end:]
+
+
+def _chunk_states(fixed: Fixed, readable: bool):
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        language = fixed.language()
+        language, coder = fixed.language(), decoding.Coder(fixed.dictionaries)
         for pdf in frames:
-            rows = [{"doc_id": r.doc_id, "chunk": r.chunk} | chunk_state(r.text, r.left, r.right, language) for r in pdf.itertuples()]
+            texts = [_readable_chunk(r.text, r.left, r.right, coder) if readable else r.text for r in pdf.itertuples()]
+            rows = [{"doc_id": r.doc_id, "chunk": r.chunk} | chunk_state(t, r.left, r.right, language) for r, t in zip(pdf.itertuples(), texts, strict=True)]
             yield pd.DataFrame([{k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in r.items()} for r in rows], columns=[c.split()[0] for c in STATE.split(", ")])
 
     return run
@@ -359,11 +367,6 @@ def long_documents(docs: DataFrame, fixed: Fixed, longest: int, limits: Limits,
         .select("doc_id", "chunk", "left", "right", F.expr(f"substring(text, at - left + 1, {chunk} + left + right)").alias("text"))
         .repartition("doc_id", "chunk")
     )
-    states = pieces.mapInPandas(_chunk_states(fixed), STATE)
-    nodes = -(-longest // chunk)
-    while nodes > 1:
-        states = states.groupBy("doc_id", F.floor(F.col("chunk") / FAN)).applyInPandas(_merge_node(fixed), STATE)
-        nodes = -(-nodes // FAN)
 
     def finish(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -371,7 +374,18 @@ def long_documents(docs: DataFrame, fixed: Fixed, longest: int, limits: Limits,
                 sums = np.stack([whole(r) for r in pdf.to_dict("records")])
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()} | measured(sums) | {"kind": kinds(sums, limits)})
 
-    return states.mapInPandas(finish, "doc_id bigint, " + MEASURES)
+    def merged(pieces: DataFrame, readable: bool) -> DataFrame:
+        states = pieces.mapInPandas(_chunk_states(fixed, readable), STATE)
+        nodes = -(-longest // chunk)
+        while nodes > 1:
+            states = states.groupBy("doc_id", F.floor(F.col("chunk") / FAN)).applyInPandas(_merge_node(fixed), STATE)
+            nodes = -(-nodes // FAN)
+        return states.mapInPandas(finish, "doc_id bigint, " + MEASURES)
+
+    raw = merged(pieces, False)
+    doubt = raw.where(F.col("known_share") < limits.look_closer).select("doc_id")
+    again = merged(pieces.join(doubt, "doc_id", "left_semi"), True).select("doc_id", F.col("kind").alias("kind_again"))
+    return raw.join(again, "doc_id", "left").withColumn("kind", F.coalesce("kind_again", "kind")).drop("kind_again")
 
 
 def statistics(df: DataFrame, words: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), chunk: int = CHUNK) -> DataFrame:

@@ -273,6 +273,16 @@ def test_chunks_merge_to_the_whole(spark, real, fixed, chunk):
                 assert cut[i][k] == pytest.approx(v, abs=1e-9), (i, k, texts[i][:60])
 
 
+def test_kind_of_damaged_documents_beyond_a_chunk(spark, fixed):
+    russian = "Это был старый город, который очень долго строил новый мост через широкую реку. Вчера вечером школьники помогли соседям убрать снег во дворе."
+    junk = "\n".join("".join(random.Random(i).choice("!#$%&*+/<=>?@^0123456789") for _ in range(60)) for i in range(40))
+    damaged = "\n".join([russian.encode().decode("latin-1")] * 12)
+    df = docs(spark, [damaged, junk, "\n".join([TR] * 12)])
+    for chunk in (1000, statistics.CHUNK):
+        got = {r["doc_id"]: r["kind"] for r in statistics.statistics(df, *fixed, chunk=chunk).collect()}
+        assert got == {0: "prose", 1: "junk", 2: "prose"}, chunk
+
+
 def test_word_counts(spark, fixed):
     got = {r["doc_id"]: r for r in statistics.statistics(docs(spark, ["Bir iki, üç!\nDört. ", "ve da 12"]), *fixed).collect()}
     assert (got[0]["n_words"], got[0]["n_lines"], got[0]["n_chars"]) == (4, 2, 19)
