@@ -29,7 +29,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame, written to the shared folder and read back: its lineage ends there."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discarded(*frames: DataFrame) -> None:
+    """Delete stored frames that nothing reads any more."""
+    for df in frames:
+        removed(df.sparkSession, df.stored_at)
 
 
 def removed(spark: SparkSession, path: str) -> None:
