@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 1 << 19
+#: Documents of a block, so that keys which pack a document's number beside other bits never run over.
+BLOCK_DOCS = 4096
 #: Highest code point with an entry in the character tables (end of the CJK extensions).
 TABLE_END = 0x323B0
 U64 = np.uint64
@@ -134,10 +136,10 @@ class Block:
 
 
 def blocks(texts: Sequence[str], size: int = BLOCK_CHARS) -> Iterator[Block]:
-    """Cut a list of texts into blocks of about ``size`` characters."""
+    """Cut a list of texts into blocks of about ``size`` characters and at most ``BLOCK_DOCS`` texts."""
     first = chars = 0
     for i, t in enumerate(texts):
-        if i > first and chars + len(t) > size:
+        if i > first and (chars + len(t) > size or i - first == BLOCK_DOCS):
             yield Block(texts[first:i], first)
             first, chars = i, 0
         chars += len(t)

@@ -70,7 +70,9 @@ def test_near_duplicates_equal_brute_force(spark, real):
                 chars[k : k + 3] = rng.choice(["", "qq", "zzz"])
             texts.append("".join(chars))
     texts += ["abcdefgh", "abcdefg", "abcdefghi", "abcdefghij", "bcdefghi", "kisa", "kısa", "kisa"]
-    assert pairs(similarity.near_duplicates(docs(spark, texts))) == brute_pairs(enumerate(texts))
+    want = brute_pairs(enumerate(texts))
+    assert pairs(similarity.near_duplicates(docs(spark, texts))) == want
+    assert pairs(similarity.near_duplicates(docs(spark, texts), lists="elements")) == want
 
 
 def test_small_sets_find_every_pair(spark):
@@ -79,8 +81,28 @@ def test_small_sets_find_every_pair(spark):
     assert pairs(similarity.near_duplicates(docs(spark, texts))) == brute_pairs(enumerate(texts))
 
 
+def test_many_short_texts_of_a_batch(spark):
+    """More texts than a packed key of one block could number."""
+    rng = random.Random(7)
+    texts = [f"{i:05d} " + "".join(rng.choice("abcdefgh") for _ in range(24)) for i in range(12_000)]
+    texts += [t + "." for t in texts[::40]]
+    df = docs(spark, texts).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
+    try:
+        got = pairs(similarity.near_duplicates(df))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got) >= {(40 * k, 12_000 + k) for k in range(300)}
+
+
+def test_boundary_follows_the_sizes():
+    assert similarity.boundary({}) == 1
+    assert similarity.boundary({200: 50}) == 1
+    assert 8 < similarity.boundary({n: 10 for n in range(1, 40)}) < similarity.SMALL
+
+
 def test_subsets_cover_every_joined_pair():
-    limit = similarity.boundary()
+    limit = 12
     for a in range(1, limit):
         for b in range(a, int(a / 0.8) + 1):
             c = similarity.needed(a, b)
@@ -90,16 +112,31 @@ def test_subsets_cover_every_joined_pair():
 def test_long_lists_are_scanned_in_blocks(spark, monkeypatch):
     texts = [f"ortak bir cümle hep aynı kalır ve uzar gider {i:03d}" for i in range(60)]
     whole = pairs(similarity.near_duplicates(docs(spark, texts)))
-    monkeypatch.setattr(similarity, "LIST_ROWS", 7)
-    assert pairs(similarity.near_duplicates(docs(spark, texts))) == whole == brute_pairs(enumerate(texts))
+    for rows in (7, 1):
+        monkeypatch.setattr(similarity, "LIST_ROWS", rows)
+        assert pairs(similarity.near_duplicates(docs(spark, texts))) == whole == brute_pairs(enumerate(texts))
+    assert pairs(similarity.near_duplicates(docs(spark, texts), lists="elements")) == whole
 
 
-def test_many_copies_become_a_star(spark, monkeypatch):
-    monkeypatch.setattr(similarity, "COPIES", 4)
+def test_a_list_streams_by_in_parts(monkeypatch):
+    monkeypatch.setattr(similarity, "LIST_ROWS", 3)
+    name = np.repeat([1, 2, 3, 4], [2, 11, 3, 5])
+    rows = {"name": name, "doc_id": np.arange(len(name)), "size": np.full(len(name), 9), "place": np.full(len(name), -1)}
+    for cut in (1, 2, 4, 30):
+        batches = [similarity.arrow({k: v[i : i + cut] for k, v in rows.items()}) for i in range(0, len(name), cut)]
+        out = [r for b in similarity._lists(batches) for r in b.to_pylist()]
+        assert sorted((r["a"], r["b"]) for r in out if r["name"] is None) == [(0, 1), (13, 14), (13, 15), (14, 15)]
+        assert [(r["a"], r["part"]) for r in out if r["name"] is not None] == [(2 + k, k // 3) for k in range(11)] + [(16 + k, k // 3) for k in range(5)]
+
+
+def test_many_copies_keep_every_link(spark, monkeypatch):
     copy = "aynı metin birçok kez durur ve hiç değişmez"
-    texts = [copy] * 6 + [copy + "!"] * 2
-    got = pairs(similarity.near_duplicates(docs(spark, texts)))
-    assert got == sorted([(0, i) for i in range(1, 6)] + [(6, 7), (0, 6), (0, 7)])
+    texts = [copy] * 9 + [copy + "!"] * 7
+    assert pairs(similarity.near_duplicates(docs(spark, texts))) == brute_pairs(enumerate(texts))
+    monkeypatch.setattr(similarity, "COPIES", 4)
+    place = [*range(9), *range(7)]
+    want = [(i, j) for i, j in itertools.combinations(range(16), 2) if abs(place[i] - place[j]) <= 4 or not place[i] or not place[j]]
+    assert pairs(similarity.near_duplicates(docs(spark, texts))) == want
 
 
 def test_groups_follow_links(spark):
