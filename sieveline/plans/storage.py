@@ -40,6 +40,14 @@ def discarded(*frames: DataFrame) -> None:
         removed(df.sparkSession, df.stored_at)
 
 
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none where it does not exist."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def removed(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
