@@ -3,14 +3,26 @@
 Of every run of ``WINDOW`` characters the index keeps the least hash of its
 ``GRAM``-character substrings, at the place where it stands. That choice
 depends on the run alone, so two documents that share a run share its
-fingerprint; about one character in sixty leaves a row. A batch of documents
-becomes an immutable run of the index, sorted by fingerprint; runs are merged
-on the fingerprint and compacted into one when there are many.
-
-A row carries the bounds of the text whose windows chose it, and a hash of all
-of that text. Rows whose whole text stands in another document settle all
-their windows at once. The rest, which lie at the ends of shared spans, are
-verified window by window against the other texts of their fingerprint.
+fingerprint; about one character in sixty leaves a row. A row carries the
+bounds of the text whose windows chose it, and a hash of all of that text.
+
+*Adding a batch.* Its rows become an immutable run: a table bucketed and sorted
+by fingerprint, whose rows are settled where their whole text stands in another
+document of the batch. The run is then merge-joined, bucket by bucket and
+without a shuffle, with the runs of all earlier batches. Rows of fingerprints
+that occur in several documents are compared: those whose whole text stands in
+another document settle all their windows at once; the rest, which lie at the
+ends of shared spans, are verified character by character against the other
+texts of their fingerprint. What a batch adds to the spans, of its own
+documents and of earlier ones, is written beside the runs.
+
+*Compaction* is by size tiers: ``FAN`` runs of a tier become one of the next,
+which keeps of each settled text two rows, in different documents. A folder can
+be opened again by another session: runs, texts and spans are listed from it.
+
+Fingerprints that a sample shows in more than ``GROUP_ROWS`` rows are hot: their
+rows are spread over all buckets by document, and verified by a shuffle of
+their windows. Neither the sample nor the spreading changes a result.
 
 Defined results: null, empty and blank texts and texts shorter than the window
 share nothing; rows that repeat an id count as one document, so they do not
@@ -19,7 +31,10 @@ share with each other; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -28,16 +43,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE
-from ..plans.storage import fresh_path, removed
+from ..plans.storage import discarded, fresh_path, listed, removed, stored
 from .textvec import U64, Block, arrow, blocks, docs_in, first_of_runs, mix, read, signed, sliding_min
 
 WINDOW = 250
 GRAM = WINDOW // 2
 #: Texts of one fingerprint that a task verifies in memory; larger groups are verified by a shuffle of their windows.
 GROUP_ROWS = 20_000
+#: One document in so many is looked at to find hot fingerprints.
+SAMPLE = 64
+#: Runs of a tier that are compacted into one of the next.
+FAN = 2
 _PLACE = U64((1 << 21) - 1)
 
 ROWS = "h bigint, c bigint, doc_id bigint, s bigint, e bigint"
+RUN = f"k bigint, {ROWS}, settled boolean, pair boolean"
 
 
 def fingerprints(block: Block, window: int = WINDOW) -> dict[str, np.ndarray]:
@@ -81,67 +101,178 @@ def _indexed(window: int):
     return run
 
 
+def _settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition sorted by (h, c, doc_id): which texts stand in two documents, and two rows of each such text.
+
+    Only rows of one text in one document wait for the next batch.
+    """
+    kept: list[np.ndarray] = []
+    known: tuple[int, int] | None = None  # a settled text that goes on
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
+        if kept:
+            rows = [np.concatenate(x) for x in zip(kept, rows, strict=True)]
+        out, kept, known = _marked(rows, known, False)
+        yield out
+    if kept:
+        yield _marked(kept, known, True)[0]
+
+
+def _marked(rows: list[np.ndarray], known: tuple[int, int] | None, last: bool) -> tuple[pa.RecordBatch, list[np.ndarray], tuple[int, int] | None]:
+    h, c, doc, s, e, before, _ = rows
+    new = first_of_runs(h) | first_of_runs(c)
+    first = np.flatnonzero(new)
+    text = np.cumsum(new) - 1
+    several = np.maximum.reduceat(doc, first) != doc[first]
+    several |= np.bincount(text, before, minlength=len(first)) > 0
+    goes_on = known is not None and (h[0], c[0]) == known
+    several[0] |= goes_on
+    # two rows of a text: its first, and the first of another document
+    changed = new | first_of_runs(doc)
+    nth = np.cumsum(changed) - np.cumsum(changed)[first][text]
+    chosen = several[text] & changed & (nth < 2) & ~(goes_on & (text == 0))
+    n = len(h) if last or several[-1] else first[-1]
+    columns = {"h": h, "c": c, "doc_id": doc, "s": s, "e": e, "settled": several[text], "pair": chosen}
+    state = (int(h[-1]), int(c[-1])) if several[-1] else None
+    return arrow({k: v[:n] for k, v in columns.items()}), [x[n:] for x in rows] if n < len(h) else [], state
+
+
+@dataclass(frozen=True)
+class Run:
+    path: str
+    number: int
+    tier: int
+    table: str
+
+
 class SpanIndex:
-    """Immutable sorted runs of fingerprints under one folder."""
+    """Immutable sorted runs of fingerprints under one folder.
 
-    def __init__(self, spark: SparkSession, path: str | None = None, window: int = WINDOW) -> None:
-        self.spark, self.window = spark, window
+    ``corpus`` holds the texts of all documents that are ever indexed; without
+    it the index keeps a copy of its own.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, window: int = WINDOW, corpus: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> None:
+        self.spark, self.window, self.ids = spark, window, (id_col, text_col)
         self.path = path or fresh_path(spark, "spans")
-        self.runs: list[str] = []
+        self.corpus = None if corpus is None else docs_in(corpus, id_col, text_col)
+        self.runs: list[Run] = []
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        old = []
+        for name in listed(spark, self.path):
+            m = re.fullmatch(r"run-(\d+)-t(\d+)-b(\d+)-w(\d+)", name)
+            if m:
+                number, tier, self.buckets, width = map(int, m.groups())
+                if width != window:
+                    raise ValueError(f"the index has windows of {width} characters")
+                run = Run(f"{self.path}/{name}", number, tier, f"spans_{uuid.uuid4().hex}")
+                if "_SUCCESS" in listed(spark, run.path):
+                    spark.sql(f"create table {run.table} ({RUN}) using parquet clustered by (k) sorted by (k, h, c) into {self.buckets} buckets location '{run.path}'")
+                    old.append(run)
+                else:
+                    removed(spark, run.path)  # a run that was never whole
+        self.runs = sorted(old, key=lambda r: r.number)
+
+    def _next(self, kind: str) -> int:
+        numbers = [int(m[1]) for n in listed(self.spark, self.path) if (m := re.match(rf"{kind}-(\d+)", n))]
+        return max(numbers, default=-1) + 1
+
+    def _kept(self, kind: str, rows: DataFrame) -> None:
+        rows.write.parquet(f"{self.path}/{kind}-{self._next(kind):05d}")
+
+    def _of(self, kind: str, schema: str) -> DataFrame:
+        parts = [f"{self.path}/{n}" for n in listed(self.spark, self.path) if n.startswith(f"{kind}-") and "_SUCCESS" in listed(self.spark, f"{self.path}/{n}")]
+        return self.spark.read.schema(schema).parquet(*parts) if parts else self.spark.createDataFrame([], schema)
 
     def add(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> None:
-        """Write a batch of documents as a run."""
-        rows = docs_in(df, id_col, text_col).mapInArrow(_indexed(self.window), ROWS)
-        self._write(rows, len(self.runs))
-
-    def _write(self, rows: DataFrame, number: int) -> None:
-        run = f"{self.path}/run-{number:05d}"
-        rows.repartition("h").sortWithinPartitions("h", "c").write.parquet(run)
+        """Index a batch of documents: a run, merge-joined with the earlier ones, then compacted with those of its size."""
+        docs = docs_in(df, id_col, text_col)
+        if self.corpus is None:
+            self._kept("texts", docs)
+        fingerprint = lambda d: d.mapInArrow(_indexed(self.window), ROWS)
+        some = fingerprint(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0))
+        self._kept("hot", some.groupBy("h").count().where(F.col("count") * SAMPLE > GROUP_ROWS).select("h").coalesce(1))
+        self._write(fingerprint(docs).select("*", F.lit(False).alias("settled"), F.lit(False).alias("pair")), 0)
+        found = self._matched(self.runs[-1], self.runs[:-1])
+        self._kept("spans", found)
+        for tier in range(64):
+            same = [r for r in self.runs if r.tier == tier]
+            if len(same) < FAN:
+                break
+            self._compact(same, tier + 1)
+
+    def _write(self, rows: DataFrame, tier: int) -> None:
+        number = self._next("run")
+        run = Run(f"{self.path}/run-{number:05d}-t{tier}-b{self.buckets}-w{self.window}", number, tier, f"spans_{uuid.uuid4().hex}")
+        hot = F.broadcast(self._hot().withColumn("hot", F.lit(True)))
+        spread = lambda d: d.join(hot, "h", "left").withColumn("k", F.when(F.col("hot"), F.xxhash64("h", "doc_id")).otherwise(F.col("h"))).drop("hot")
+        rows = spread(rows).repartition(self.buckets, "k").sortWithinPartitions("h", "c", "doc_id", "s")
+        marked = rows.drop("k").select("h", "c", "doc_id", "s", "e", "settled", "pair").mapInArrow(_settled, f"{ROWS}, settled boolean, pair boolean")
+        spread(marked).select("k", "h", "c", "doc_id", "s", "e", "settled", "pair").write.format("parquet").bucketBy(self.buckets, "k").sortBy("k", "h", "c").option("path", run.path).saveAsTable(run.table)
         self.runs.append(run)
 
-    def rows(self) -> DataFrame:
-        return reduce(DataFrame.union, (self.spark.read.schema(ROWS).parquet(r) for r in self.runs))
+    def _hot(self) -> DataFrame:
+        """Hot fingerprints: at most one for GROUP_ROWS rows of the index."""
+        return self._of("hot", "h bigint").distinct()
+
+    def _compact(self, runs: list[Run], tier: int) -> None:
+        """Merge runs into one; the old ones go once the new one is whole, and their settled spans stand beside it."""
+        rows = reduce(DataFrame.union, (self.spark.table(r.table).drop("k") for r in runs))
+        self._kept("spans", rows.where("settled and not pair").select("doc_id", "s", "e"))
+        self._write(rows.where("not settled or pair"), tier)
+        self.runs = [r for r in self.runs if r not in runs]
+        for run in runs:
+            self.spark.sql(f"drop table {run.table}")
+            removed(self.spark, run.path)
 
     def compact(self) -> None:
-        """Merge all runs into one; the old ones go once the new one is whole."""
-        old, rows = list(self.runs), self.rows()
-        number = max(int(r[-5:]) for r in old) + 1
-        self.runs = []
-        self._write(rows, number)
-        for run in old:
-            removed(self.spark, run)
-
-    def spans(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Maximal shared spans of the indexed documents, whose texts ``df`` holds."""
-        whole, open_ends = self._matched()
-        docs = docs_in(df, id_col, text_col).dropDuplicates(["doc_id"])
-        texts = open_ends.join(docs, "doc_id").select("h", "doc_id", "s", "open", "n", F.expr("substring(text, cast(s + 1 as int), cast(e - s as int))").alias("text"))
-        return merged(whole.union(self._verified(texts)))
-
-    def _matched(self) -> tuple[DataFrame, DataFrame]:
-        """Spans settled by their whole text, and the texts to verify: those not settled, and beside them two of each settled text, in different documents, one of which is another than an open text's."""
+        """Merge all runs into one."""
+        if len(self.runs) > 1:
+            self._compact(list(self.runs), max(r.tier for r in self.runs) + 1)
+
+    def spans(self) -> DataFrame:
+        """Maximal shared spans of all indexed documents."""
+        settled = [self.spark.table(r.table).where("settled").select("doc_id", "s", "e") for r in self.runs]
+        return merged(reduce(DataFrame.union, settled, self._of("spans", "doc_id bigint, s bigint, e bigint")))
+
+    def _matched(self, new: Run, old: list[Run]) -> DataFrame:
+        """What a new run adds to the spans beside its own settled rows."""
+        hot = F.broadcast(self._hot())
+        live = lambda r: self.spark.table(r.table).where("not settled or pair")
+        cold = lambda r: live(r).where("k = h")
+        docs_of = lambda rows, a: rows.groupBy("k").agg(F.min("doc_id").alias(f"least{a}"), F.max("doc_id").alias(f"most{a}"), F.count(F.when(~F.col("settled"), 1)).alias(f"open{a}"))
+        # runs are bucketed by k, so these joins and counts need no exchange
+        by = docs_of(cold(new), "")
+        for i, r in enumerate(old):
+            by = by.join(docs_of(cold(r), i), "k", "left")
+        every = lambda f, c: f(*(F.col(f"{c}{i}") for i in ["", *range(len(old))])) if old else F.col(c)
+        n_open = sum((F.coalesce(F.col(f"open{i}"), F.lit(0)) for i in range(len(old))), F.col("open"))
+        shared = by.where((every(F.least, "least") != every(F.greatest, "most")) & (n_open > 0)).select("k")
+        columns = ["h", "c", "doc_id", "s", "e", "settled"]
+        rows = reduce(DataFrame.union, (cold(r).join(shared, "k", "left_semi").select(columns) for r in [new, *old]))
         by_h, by_text = Window.partitionBy("h"), Window.partitionBy("h", "c")
         settled = F.col("c_least") != F.col("c_most")
-        rows = (
-            self.rows()
-            .select("*", F.min("doc_id").over(by_h).alias("least"), F.max("doc_id").over(by_h).alias("most"))
-            .where("least <> most")
-            .select("h", "c", "doc_id", "s", "e", F.min("doc_id").over(by_text).alias("c_least"), F.max("doc_id").over(by_text).alias("c_most"), F.min(F.struct("doc_id", "s")).over(by_text).alias("one"), F.max(F.struct("doc_id", "s")).over(by_text).alias("other"))
-            .select("*", F.count(F.when(~settled, 1)).over(by_h).alias("n_open"))
-        )
-        path = fresh_path(self.spark, "matched")
-        rows.select("h", "doc_id", "s", "e", (~settled).alias("open"), "n_open", F.struct("doc_id", "s").isin(F.col("one"), F.col("other")).alias("kept")).write.parquet(path)
-        rows = self.spark.read.parquet(path)
-        whole = rows.where("not open").select("doc_id", "s", "e")
-        n = F.count("*").over(Window.partitionBy("h"))
-        return whole, rows.where("n_open > 0 and (open or kept)").select("h", "doc_id", "s", "e", "open", n.alias("n"))
-
-    def _verified(self, texts: DataFrame) -> DataFrame:
+        rows = rows.select("*", F.min("doc_id").over(by_text).alias("c_least"), F.max("doc_id").over(by_text).alias("c_most"), F.min(F.struct("doc_id", "s")).over(by_text).alias("one"), F.max(F.struct("doc_id", "s")).over(by_text).alias("other"))
+        rows = rows.select("h", "doc_id", "s", "e", (settled & ~F.col("settled")).alias("new"), (~settled).alias("open"), F.struct("doc_id", "s").isin(F.col("one"), F.col("other")).alias("kept"), F.count(F.when(~settled, 1)).over(by_h).alias("n_open"))
+        rows = stored(rows.where("new or n_open > 0 and (open or kept)"), "matched")
+        texts = self._texts(rows.where("n_open > 0 and (open or kept)").select("h", "doc_id", "s", "e", "open", F.count("*").over(by_h).alias("n")))
         small = texts.where(F.col("n") <= GROUP_ROWS).repartition("h").sortWithinPartitions("h").mapInArrow(_verify(self.window), "doc_id bigint, s bigint, e bigint")
-        windows = texts.where(F.col("n") > GROUP_ROWS).mapInArrow(_windows(self.window), "w bigint, doc_id bigint, s bigint, open boolean")
-        twice = windows.groupBy("w").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least <> most").select("w")
-        large = windows.where("open").join(twice, "w", "left_semi").select("doc_id", "s", (F.col("s") + self.window).alias("e"))
-        return small.union(large)
+        hot_rows = reduce(DataFrame.union, (live(r).join(hot, "h", "left_semi").select("h", "doc_id", "s", "e", (~F.col("settled")).alias("open")) for r in [new, *old]))
+        large = self._by_windows(texts.where(F.col("n") > GROUP_ROWS).select("h", "doc_id", "s", "open", "text").union(self._texts(hot_rows).select("h", "doc_id", "s", "open", "text")))
+        return rows.where("new").select("doc_id", "s", "e").union(small).union(large)
+
+    def _texts(self, rows: DataFrame) -> DataFrame:
+        docs = self._of("texts", "doc_id bigint, text string") if self.corpus is None else self.corpus
+        rest = [c for c in rows.columns if c != "e"]
+        return rows.join(docs.dropDuplicates(["doc_id"]), "doc_id").select(*rest, F.expr("substring(text, cast(s + 1 as int), cast(e - s as int))").alias("text"))
+
+    def _by_windows(self, texts: DataFrame) -> DataFrame:
+        """Verification of large groups: their windows meet by hash, of 64 bits and of another 64, whatever their fingerprint's rows."""
+        windows = texts.mapInArrow(_windows(self.window), "w bigint, v bigint, doc_id bigint, s bigint, open boolean")
+        twice = windows.groupBy("w", "v").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least <> most").select("w", "v")
+        return windows.where("open").join(twice, ["w", "v"], "left_semi").select("doc_id", "s", (F.col("s") + self.window).alias("e"))
 
 
 def _hashes(h: np.ndarray, texts: list[str], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,19 +294,22 @@ def _shared(h: np.ndarray, doc: np.ndarray, s: np.ndarray, is_open: np.ndarray,
     w, row, offset = _hashes(h, texts, window)
     if not len(w):
         return arrow({"doc_id": doc[:0], "s": s[:0], "e": s[:0]})
-    order = np.argsort(w)
+    order = np.lexsort((doc[row], w))
     at = np.flatnonzero(first_of_runs(w[order]))
-    d = doc[row[order]]
-    several = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at)
-    hit = np.zeros(len(w), bool)
-    hit[order] = np.repeat(several, np.diff(np.append(at, len(w))))
-    hit &= is_open[row]
-    i = np.flatnonzero(hit)
+    n = np.diff(np.append(at, len(w)))
+    least, most = (np.empty(len(w), np.int64) for _ in range(2))  # a place of the window in its first and in its last document
+    least[order], most[order] = np.repeat(order[at], n), np.repeat(order[at + n - 1], n)
+    partner = np.where(doc[row[least]] != doc[row], least, most)
+    i = np.flatnonzero((doc[row[partner]] != doc[row]) & is_open[row])
     if not len(i):
         return arrow({"doc_id": doc[:0], "s": s[:0], "e": s[:0]})
-    new = (np.diff(i, prepend=-2) > 1) | first_of_runs(row[i])
+    p = partner[i]
+    new = (np.diff(i, prepend=-2) > 1) | first_of_runs(row[i]) | (np.diff(p, prepend=-2) != 1) | first_of_runs(row[p])
     f = np.flatnonzero(new)
     last = np.append(f[1:], len(i)) - 1
+    # the hashes agree; the characters decide
+    same = [texts[row[a]][offset[a] : offset[b] + window] == texts[row[x]][offset[x] : offset[x] + offset[b] - offset[a] + window] for a, b, x in zip(i[f].tolist(), i[last].tolist(), p[f].tolist(), strict=True)]
+    f, last = f[same], last[same]
     r = row[i[f]]
     return arrow({"doc_id": doc[r], "s": s[r] + offset[i[f]], "e": s[r] + offset[i[last]] + window})
 
@@ -213,7 +347,10 @@ def _windows(window: int):
         for batch in batches:
             h, doc, s, is_open, texts = _columns(batch)
             w, row, offset = _hashes(h, texts, window)
-            yield arrow({"w": signed(w), "doc_id": doc[row], "s": s[row] + offset, "open": is_open[row]})
+            v = _hashes(h, [t[::-1] for t in texts], window)[0]  # of the text read backwards, whose windows stand in the opposite order
+            n = np.bincount(row, minlength=len(texts)) if len(row) else np.zeros(0, np.int64)
+            turned = (np.cumsum(n) - n)[row] + n[row] - 1 - offset if len(row) else row
+            yield arrow({"w": signed(w), "v": signed(v[turned]), "doc_id": doc[row], "s": s[row] + offset, "open": is_open[row]})
 
     return run
 
@@ -231,12 +368,12 @@ def merged(spans: DataFrame) -> DataFrame:
     )
 
 
-def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2, window: int = WINDOW) -> DataFrame:
+def shared_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 3, window: int = WINDOW) -> DataFrame:
     """Index a whole table in batches, then its spans."""
-    index = SpanIndex(df.sparkSession, window=window)
+    index = SpanIndex(df.sparkSession, window=window, corpus=df, id_col=id_col, text_col=text_col)
     for i in range(batches):
         index.add(df.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)) == i), id_col, text_col)
-    return index.spans(df, id_col, text_col)
+    return index.spans()
 
 
 def shares(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -476,18 +476,39 @@ def test_spans_repeated_in_their_own_document(spark, monkeypatch):
     assert found() == want
 
 
-def test_index_is_the_same_in_any_batches_and_compacted(spark, monkeypatch):
-    texts = _span_texts()
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_index_is_the_same_in_any_batches_and_reopened(spark, batches):
+    texts = _span_texts() + _twice_texts()[:8]
     df = docs(spark, texts)
-    want = pairs(spans.shared_spans(df, batches=1))
+    want = brute_spans([(i, t) for i, t in enumerate(texts) if t and t.strip()], 250)
     index = spans.SpanIndex(spark)
-    for k in range(4):
-        index.add(df.where(F.col("doc_id") % 4 == k))
-    assert len(index.runs) == 4 and pairs(index.spans(df)) == want
+    for k in range(batches):
+        index.add(df.where(F.col("doc_id") % batches == k))
+        index = spans.SpanIndex(spark, index.path)  # as another session opens it
+    assert len(index.runs) <= 2 and pairs(index.spans().select("doc_id", "span_start", "span_end")) == want
     index.compact()
-    assert len(index.runs) == 1 and pairs(index.spans(df)) == want
-    monkeypatch.setattr(spans, "GROUP_ROWS", 2)  # the way of large groups
-    assert pairs(index.spans(df)) == want
+    again = spans.SpanIndex(spark, index.path)
+    assert len(again.runs) == 1 and pairs(again.spans().select("doc_id", "span_start", "span_end")) == want
+    with pytest.raises(ValueError):
+        spans.SpanIndex(spark, index.path, window=99)
+
+
+def test_hot_fingerprints_are_spread(spark, monkeypatch):
+    texts = _span_texts() + _twice_texts()
+    df = docs(spark, texts)
+    want = brute_spans([(i, t) for i, t in enumerate(texts) if t and t.strip()], 250)
+    for name, value in (("GROUP_ROWS", 2), ("SAMPLE", 1)):
+        monkeypatch.setattr(spans, name, value)
+    assert pairs(spans.shared_spans(df).select("doc_id", "span_start", "span_end")) == want
+
+
+def test_a_merge_reads_no_run_twice_over_the_network(spark):
+    index = spans.SpanIndex(spark)
+    df = docs(spark, _span_texts())
+    index.add(df.where("doc_id < 9"))
+    a = spark.table(index.runs[0].table)
+    plan = a.join(a.toDF("k", *[f"{c}2" for c in a.columns[1:]]), "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_shares(spark):
