@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import confusables, decoding, statistics
-from .textvec import U64, Block, arrow, blocks, docs_in, first_of_runs, mix, read
+from .textvec import U64, Block, arrow, blocks, docs_in, first_of_runs, fold_table, letter_table, mix, read
 
 WEIGHTS = Path(__file__).with_name("block_weights.npz")
 BUCKETS = 4096
@@ -59,12 +59,12 @@ class Leaves:
         at = np.flatnonzero(solid)
         first = at[np.searchsorted(at, s)] if n else s
         last = at[np.searchsorted(at, e) - 1] if n else s
-        digit, letter = statistics._digits()[cp], statistics._letters()[cp]
+        digit, letter = statistics._digits()[cp], letter_table()[cp]
         sums = lambda m: (lambda c: c[e] - c[s])(np.concatenate(([0], np.cumsum(m))))
         after_space = np.concatenate((space[1:] | ~inside[1:], [True]))
         before_space = np.concatenate(([True], space[:-1] | ~inside[:-1]))
         end_mark = (cp == 46) | (cp == 33) | (cp == 63) | (cp == 0x2026)
-        upper = letter & (statistics.fold_table()[cp] != cp)
+        upper = letter & (fold_table()[cp] != cp)
         head = letter & np.concatenate(([True], ~letter[:-1]))
 
         ws, we, wh, _ = block.words()

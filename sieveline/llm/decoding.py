@@ -15,6 +15,16 @@ long the rest of the document is; in a document with a chain, the chain is
 tried on every other line as well. A line all in capitals is compared as if in
 small letters, so that a heading is not taken for inverted case.
 
+Characters that are odd to the languages here may be right in another one, so a
+chain must have evidence beside its length. A step to UTF-8 has it where most
+of the odd characters make whole sequences of letters or signs. Any other step
+must turn words into words whose letters follow each other as in one of the
+languages, and did not so before. Without evidence a text is left unchanged.
+
+The search (``Search``) extends the best candidates of a length only, in the
+languages that fit the text's ASCII letters; ``Search(beam=None)`` tries every
+chain up to the depth in every language.
+
 Defined results: null, empty and blank texts take no part; lines are split at
 line feeds and counted from 0; a lost original gives a null ``repaired``; rows
 that repeat an id give a row each; other columns of the input are ignored.
@@ -25,6 +35,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import product
 
@@ -34,17 +45,22 @@ import zstandard
 from pyspark.sql import DataFrame
 
 from . import confusables, labels
-from .textvec import TABLE_END, Block, arrow, docs_in, read
+from .textvec import TABLE_END, TRIGRAM_BITS, Block, arrow, blocks, docs_in, read, trigrams
 
 #: Bytes that a step of a chain costs.
 STEP = 3
 #: Bytes that an odd character costs beyond its code.
 ODD = 2
-DEPTH = 3
-#: Candidates that a further step is tried on.
-BEAM = 3
 #: Bytes of a language's dictionary.
 DICTIONARY = 160_000
+#: Share of the letters' trigrams around what a chain changed that a language must know, and by how much more than before.
+KNOWN, GAIN = 0.68, 0.15
+#: What it must be where the rest of the text is too short (fewer than FEW letters) to show its language.
+ALONE, FEW = 0.85, 40
+#: What it must be, and exceed what it was by, where a chain turns letters of the languages into others.
+CLEAR = 0.25
+#: How far the share of the trigrams of a text's ASCII words may lie below what a new text of the language has, and below the best language's.
+FIT, NEAR = 0.1, 0.04
 
 #: What the languages and their typography write beyond ASCII.
 LETTERS = "çğıöşüÇĞİÖŞÜâîûəƏäÄßàæéèêëïôœùÿÀÉÈÊÎÔáíñóúÁÍÑÓÚ"
@@ -62,6 +78,8 @@ _CUT = re.compile("([^\x00-\x7f]+)")
 _CYRILLIC_RUN = re.compile("[Ѐ-ӿ]")
 #: A Cyrillic word that begins small and goes on in capitals.
 _INVERTED_WORD = re.compile(r"(?<![^\W\d_])[а-яё][А-ЯЁ]")
+#: Typography, which no language's words hold.
+_SIGNS = re.compile(f"[{re.escape(TYPOGRAPHY)}]+")
 _LONE = re.compile(r"(?:^|(?<=\s))\?(?=\s|$)")
 
 
@@ -243,12 +261,29 @@ def _scripts() -> np.ndarray:
     return table
 
 
+@dataclass(frozen=True)
+class Search:
+    """Steps of a chain at most, and how many candidates a further step is tried on (None: all, in every language)."""
+
+    depth: int = 3
+    beam: int | None = 3
+
+
 class Coder:
-    """Compressed sizes of a text with the dictionary of each language."""
+    """Compressed sizes of a text with the dictionary of each language, and the trigrams of its letters."""
 
-    def __init__(self, texts: dict[str, bytes]) -> None:
-        self.coders = {}
+    def __init__(self, texts: dict[str, bytes], search: Search = Search()) -> None:
+        self.coders, self.search = {}, search
+        self.known: dict[str, np.ndarray] = {}
+        self.whole: dict[str, float] = {}
         for lang, raw in texts.items():
+            counts = np.zeros(1 << TRIGRAM_BITS, np.int64)
+            for block in blocks(raw.decode("utf-8", "ignore").split("\n")):
+                letter, t = trigrams(block.clipped())
+                np.add.at(counts, t[letter], 1)
+            self.known[lang] = counts > 0
+            # what share of a new text's trigrams the dictionary may be expected to hold, by those it holds once (Good and Turing)
+            self.whole[lang] = 1 - np.count_nonzero(counts == 1) / max(counts.sum(), 1)
             d = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=3)
             self.coders[lang] = zstandard.ZstdCompressor(dict_data=d, level=3, write_checksum=False, write_content_size=False, write_dict_id=False)
@@ -259,8 +294,30 @@ class Coder:
         russian = 3 * len(_CYRILLIC_RUN.findall(text)) > len(text)
         return {k: len(c.compress(raw)) for k, c in self.coders.items() if (k == "ru") == russian} or {"": len(raw)}
 
+    def share(self, tokens: list[str], lang: str) -> float:
+        """Of the signs beyond ASCII in the tokens and the letters beside them, the share that stands as in the language."""
+        if not tokens:
+            return 0.0
+        cp = Block(tokens, 0).clipped()
+        letter, t = trigrams(cp)
+        own = cp > 127
+        near = own.copy()
+        near[1:] |= own[:-1]
+        near[:-1] |= own[1:]
+        near &= letter | own
+        return float((letter & self.known[lang][t])[near].mean()) if near.any() else 0.0
+
+    def fits(self, tokens: list[str]) -> set[str] | None:
+        """The languages whose trigrams the letters of ASCII tokens follow; None where there are few letters."""
+        cp = Block(tokens or [""], 0).clipped()
+        letter, t = trigrams(cp)
+        shares = {k: float(known[t[letter]].mean()) if letter.any() else 0.0 for k, known in self.known.items()}
+        return {k for k, x in shares.items() if x >= self.whole[k] - FIT and x >= max(shares.values()) - NEAR} if letter.sum() >= FEW else None
+
     def near(self, text: str) -> frozenset[str]:
         """The languages to try a text's decodings in: Russian, and two of those that its ASCII letters fit best."""
+        if self.search.beam is None:
+            return frozenset(self.coders) | {"ru"}
         sizes = self.sizes(_RUN.sub(" ", text))
         return frozenset(sorted(sizes, key=sizes.get)[:2]) | {"ru"}
 
@@ -277,8 +334,8 @@ def dictionaries(right: dict[str, list[str]], seen: dict[str, list[str]]) -> dic
     out = {}
     for lang, passages in right.items():
         own = "\n".join(passages)
-        lines = [line for t in seen.get(lang, ()) for line in t.split("\n") if not _odd().search(line)]
-        out[lang] = ("\n".join(lines)[: DICTIONARY - len(own)] + "\n" + own).encode()[-2 * DICTIONARY :]
+        lines = [line for t in seen.get(lang, ()) for line in t.split("\n") if not _odd().search(line) and not _INVERTED_WORD.search(line)]
+        out[lang] = ("\n".join(lines)[: max(0, DICTIONARY - len(own))] + "\n" + own[-DICTIONARY:]).encode()[-2 * DICTIONARY :]
     return out
 
 
@@ -293,6 +350,60 @@ def _plain_size(line: str, coder: Coder) -> int:
     return min(coder.size(line), coder.size(line.lower())) if _inverted(line) else coder.size(line)
 
 
+def _plausible(c: str) -> bool:
+    """Letters and signs of the common alphabets, and typography."""
+    o = ord(c)
+    return c.isalpha() and (0xAA <= o < 0x250 or 0x370 <= o < 0x600 or 0x620 <= o < 0x700 or 0x1E00 <= o < 0x2000) or c in TYPOGRAPHY or 0x2010 <= o < 0x2040 or o in (0xA0, 0x20AC, 0x2122) or o >= 0x1F000 or 0x3040 <= o < 0xD7A4 or 0xFB00 <= o < 0xFB07
+
+
+def _whole(text: str, step: tuple[str, str]) -> tuple[int, int]:
+    """(odd characters that a step to UTF-8 reads as parts of plausible signs, all odd characters); a sign that it reads so is odd."""
+    table, read, rest = _bytes_of(step[0]), 0, 0
+    for run in _RUN.findall(text):
+        i = 0
+        while i < len(run):
+            lead = table.get(run[i], 0)
+            n = 2 if 0xC2 <= lead < 0xE0 else 3 if 0xE0 <= lead < 0xF0 else 4 if 0xF0 <= lead < 0xF5 else 1
+            try:
+                ok = n > 1 and _plausible(bytes([table[c] for c in run[i : i + n]]).decode("utf-8"))
+            except (KeyError, UnicodeDecodeError):
+                ok = False
+            if ok:
+                read, i = read + n, i + n
+            else:
+                rest += odd_table()[min(ord(run[i]), TABLE_END - 1)]
+                i += 1
+    return read, read + int(rest)
+
+
+def _supported(old: str, new: str, chain: tuple[tuple[str, str], ...], coder: Coder) -> bool:
+    """Whether there is evidence for a chain: whole UTF-8 sequences, or words of a language that were none before."""
+    if not all(c in _usual() or _plausible(c) for c in set(new) - set(old)):
+        return False
+    if all(step[1] == "utf-8" for step in chain):
+        text = old
+        for step in chain:
+            read, of = _whole(text, step)
+            if 2 * read < of or not read:
+                # a second reading of what the first one made: whole sequences were cut by characters that got lost
+                break
+            text = undo(text, *step)
+        else:
+            return True
+    words = lambda t: Counter(w for w in t.split() if not w.isascii())
+    a, b = words(old), words(new)
+    was, now = list((a - b).elements()), list((b - a).elements())
+    now = [_SIGNS.sub("", w) for w in now]
+    fits = coder.fits([w for w in new.split() if w.isascii()])
+    langs = coder.known if fits is None else fits
+    before = max((coder.share(was, k) for k in langs), default=0.0)
+    least = ALONE if fits is None else KNOWN
+    if was and all(c in _usual() for w in was for c in w):
+        least = CLEAR  # what stood there before were letters of the languages as well, so the gain tells
+        before += CLEAR - GAIN
+    return any(coder.share(now, k) >= max(least * coder.whole[k] ** 4, before + GAIN) for k in langs)
+
+
 def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str], ...]:
     """The chain with the least description of an odd text; empty where it is best left unchanged."""
     odd = len(_odd().findall(text))
@@ -306,33 +417,35 @@ def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str]
         plain = confusables.normal_form(confusables.skeleton(text))
         best = min(best, coder.size(plain, langs) + ODD * len(_odd().findall(plain)))
     tried, front = {text}, [(best, (), text, odd)]
-    for depth in range(1, DEPTH + 1):
+    beam = coder.search.beam
+    for depth in range(1, coder.search.depth + 1):
         found = []
         for _, steps, old, n in front:
             runs = Runs(old)
             counts = Counter(_odd().findall(old))
             for step in STEPS:
                 table = _bytes_of(step[0]) if step[1] == "utf-8" else _letters_of(*step)
-                if 2 * sum(k for c, k in counts.items() if all(x in table for x in c)) < n:
+                if beam is not None and 2 * sum(k for c, k in counts.items() if all(x in table for x in c)) < n:
                     continue  # it would leave most odd characters as they are
                 new, least_odd, length = runs.undone(*step)
                 shorter = step[1] == "utf-8" and length < len(old)
-                if new is None or least_odd > 0.5 * n and not shorter and not cyrillic:
+                if new is None or beam is not None and least_odd > 0.5 * n and not shorter and not cyrillic:
                     continue
                 text_of = new()
                 if text_of in tried:
                     continue
                 tried.add(text_of)
                 left = len(_odd().findall(text_of))
-                if left > 0.5 * n and not shorter and not cyrillic:
+                if beam is not None and left > 0.5 * n and not shorter and not cyrillic:
                     continue
                 found.append((coder.size(text_of, langs) + ODD * left + STEP * depth, (*steps, step), text_of, left))
         found.sort(key=lambda x: x[:2])
-        if found and found[0][0] < best:
-            best, chain = found[0][:2]
-        if any(x[3] == 0 for x in found):
-            break
-        front = [x for x in found if x[1][-1][1] == "utf-8" and x[3]][:BEAM]
+        won = next((x for x in found if x[0] >= best or _supported(text, x[2], x[1], coder)), None)
+        if won and won[0] < best:
+            best, chain = won[:2]
+            if not won[3]:
+                break
+        front = [x for x in found if beam is None or x[1][-1][1] == "utf-8" and x[3]][:beam]
     return chain
 
 
@@ -349,9 +462,7 @@ def repaired_lines(text: str, coder: Coder) -> list[tuple[int, str | None, str]]
     odd = {i for i, line in enumerate(lines) if not line.isascii() and (_odd().search(line) or _inverted(line))}
     open_lines = set(odd)
     chains = []
-    for _ in range(3):
-        if not open_lines:
-            break
+    while open_lines:
         joined = "\n".join(lines[i] for i in sorted(open_lines))
         # neither headings in capitals nor odd lines of another kind may outweigh the lines whose words show inverted case
         inverted = "\n".join(lines[i] for i in sorted(open_lines) if _INVERTED_WORD.search(lines[i]) and not _odd().search(lines[i]))
@@ -410,9 +521,9 @@ def odd_documents(block: Block) -> np.ndarray:
     return np.flatnonzero(odd)
 
 
-def _finder(texts: dict[str, bytes]):
+def _finder(texts: dict[str, bytes], search: Search):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(texts)
+        coder = Coder(texts, search)
         for ids, block in read(batches):
             rows = [(ids[d], *r) for d in odd_documents(block) for r in repaired_lines(block.texts[d], coder)]
             yield arrow({
@@ -423,18 +534,18 @@ def _finder(texts: dict[str, bytes]):
     return run
 
 
-def damaged_lines(df: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def damaged_lines(df: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", search: Search = Search()) -> DataFrame:
     """A row for each line that wrong decoding changed, with its original where that can be had."""
     texts = dictionaries(*labels.sample(df, samples, id_col, text_col, lang_col))
-    return docs_in(df, id_col, text_col).mapInArrow(_finder(texts), "doc_id bigint, line_no bigint, repaired string, chain string")
+    return docs_in(df, id_col, text_col).mapInArrow(_finder(texts, search), "doc_id bigint, line_no bigint, repaired string, chain string")
 
 
-def restored(df: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def restored(df: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", search: Search = Search()) -> DataFrame:
     """Every document's text with its lines restored, and how many were, and how many are lost."""
     texts = dictionaries(*labels.sample(df, samples, id_col, text_col, lang_col))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(texts)
+        coder = Coder(texts, search)
         for ids, block in read(batches):
             out, fixed, lost = list(block.texts), [0] * block.n, [0] * block.n
             for d in odd_documents(block):

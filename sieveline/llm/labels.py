@@ -26,6 +26,8 @@ MISSING = ("", "und", "unknown", "xx")
 PER_LANGUAGE = 120
 #: Characters of such a document that it sees.
 SAMPLE_CHARS = 6_000
+#: Rows that the table of correct passages may have.
+PASSAGES = 100_000
 
 
 def canonical(label: Column) -> Column:
@@ -38,21 +40,40 @@ def canonical(label: Column) -> Column:
 def sample(df: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> tuple[dict[str, list[str]], dict[str, list[str]]]:
     """Correct passages, and labelled documents, by language; both are bounded.
 
-    The documents' labels may be wrong; who fits a model on them first drops
-    those that a model of the correct passages contradicts.
+    The languages are those of the passages. The documents' labels may be
+    wrong; who fits a model on them first drops those that a model of the
+    correct passages contradicts. Documents are drawn by a hash of their id: a
+    first count by language, which reads no text, says how small the hash must
+    be for some four times as many as are wanted.
     """
     right: dict[str, list[str]] = {}
-    for lang, text in samples.select(canonical(F.col(lang_col)), text_col).where(F.col(text_col).isNotNull()).limit(10_000).collect():
-        right.setdefault(lang, []).append(text)
+    for lang, text in bounded(samples.select(canonical(F.col(lang_col)), text_col).where(F.col(text_col).isNotNull()), PASSAGES, "passages"):
+        if lang is not None:
+            right.setdefault(lang, []).append(text)
+    right = {k: sorted(v) for k, v in sorted(right.items())}
+    label = canonical(F.col(lang_col).cast("string"))
+    counts = {k: n for k, n in df.groupBy(label.alias("lang")).count().where(F.col("lang").isin(*right)).collect()} if right else {}
+    seen: dict[str, list[str]] = {}
+    if not counts:
+        return right, seen
+    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    small = reduce(lambda c, kv: c | (F.col("lang") == kv[0]) & (hashed < int((1 << 40) * min(1.0, 4 * per_language / kv[1]))), counts.items(), F.lit(False))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     some = (
-        docs_in(df, id_col, text_col, canonical(F.col(lang_col)).alias("lang"))
-        .where(F.col("lang").isin(*LANGUAGES))
+        docs_in(df, id_col, text_col, label.alias("lang"))
+        .where(small)
         .select("lang", "doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .select("lang", "text", F.row_number().over(order).alias("place"))
         .where(F.col("place") <= per_language)
     )
-    seen: dict[str, list[str]] = {}
     for lang, text, _ in sorted(some.collect()):
         seen.setdefault(lang, []).append(text)
-    return {k: sorted(v) for k, v in sorted(right.items()) if k in LANGUAGES}, seen
+    return right, seen
+
+
+def bounded(df: DataFrame, limit: int, what: str) -> list:
+    """All rows of a table that must be small."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}")
+    return rows

@@ -1,25 +1,28 @@
 """Per-document text statistics as partial counts of chunks, and what they say of a document's kind.
 
-A document longer than ``CHUNK`` characters is cut into chunks. A chunk's
+A document is cut into chunks of ``CHUNK`` characters; most have one. A chunk's
 counts are a state that merges with its neighbour's: sums for all lines that
 are whole, the line it begins in and the line it ends in as open sums, and the
 word pieces at its two ends, so a word or a line that was cut counts once, with
-its own properties. States merge up a tree of ``FAN`` chunks a node, so no task
-ever holds a document. Characters whose class depends on their neighbours see
-two characters beyond the cut. Where the whole document looks like no language,
-its chunks are made readable, each by itself, and merged again for its kind.
+its own properties. A document of one chunk is whole with it; the states of
+others merge up a tree of ``FAN`` chunks a node, so no task ever holds them.
+Characters whose class depends on their neighbours see two characters beyond
+the cut. A chunk that looks like no language is also counted with look-alike
+letters folded and wrong decodings undone, and both counts go up the tree; the
+kind of a document that looks like no language is taken from the latter.
 
 The common words and the letter trigrams that make a word look like one come
-from two fixed tables, the common words and the labelled passages, whose rows
-are bounded on reading (``FIXED_ROWS``).
+from two fixed tables, the common words and the labelled passages, which may
+have ``FIXED_ROWS`` and ``labels.PASSAGES`` rows.
 
-Defined results: null, empty and blank texts and rows without an id give no
-row; rows that repeat an id give a row each up to the chunk size (beyond it
-they count as one document); other columns of the input are ignored.
+Defined results, the same at every length: null, empty and blank texts and rows
+without an id give no row; rows that repeat an id give a row each; other
+columns of the input are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -30,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.storage import stored
 from . import confusables, decoding, labels
-from .textvec import TABLE_END, U64, Block, alnum_table, arrow, blocks, docs_in, fold_table, mix, rows_of
+from .textvec import TABLE_END, TRIGRAM_BITS, Block, alnum_table, arrow, blocks, docs_in, trigrams
 
 CHUNK = 1 << 20
 FAN = 32
 CONTEXT = 2
-FIXED_ROWS = 20_000
+FIXED_ROWS = 100_000
 PIECE = 40
 
 #: Sums of a line.
@@ -61,13 +65,6 @@ class Limits:
     least_items: int = 3
 
 
-@lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    table = np.fromiter((chr(i).isalpha() for i in range(TABLE_END)), bool, TABLE_END)
-    table[-1] = False
-    return table
-
-
 @lru_cache(maxsize=1)
 def _digits() -> np.ndarray:
     return np.fromiter((chr(i).isdigit() for i in range(TABLE_END)), bool, TABLE_END)
@@ -78,23 +75,14 @@ def _spaces() -> np.ndarray:
     return np.fromiter((chr(i).isspace() for i in range(TABLE_END)), bool, TABLE_END)
 
 
-def _trigrams(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mask of letters, and a 20-bit hash of each with its neighbours."""
-    letter = _letters()[cp]
-    c = np.where(letter, fold_table()[cp], 0).astype(U64)
-    before = np.concatenate((np.zeros(1, U64), c[:-1]))
-    after = np.concatenate((c[1:], np.zeros(1, U64)))
-    return letter, (mix(before << U64(40) | c << U64(20) | after) & U64((1 << 20) - 1)).astype(np.int64)
-
-
 class Language:
     """The common words and known trigrams, as arrays."""
 
     def __init__(self, words: Iterable[str], passages: Iterable[str]) -> None:
         self.stop = np.unique(np.concatenate([b.words()[2] for b in blocks(sorted(set(words)) or [""])]))
-        self.known = np.zeros(1 << 20, bool)
+        self.known = np.zeros(1 << TRIGRAM_BITS, bool)
         for b in blocks(sorted(passages)):
-            letter, t = _trigrams(b.clipped())
+            letter, t = trigrams(b.clipped())
             self.known[t[letter]] = True
 
     def is_stop(self, hashes: np.ndarray) -> np.ndarray:
@@ -123,7 +111,7 @@ def line_sums(block: Block, language: Language, left: np.ndarray | None = None,
     after_quote = np.concatenate((quote[1:], [False]))
     end_mark = (cp == 46) | (cp == 33) | (cp == 63) | (cp == 0x2026) | (cp == 0xFF0E)
     ends = end_mark & (after_space | after_quote)
-    letter, tri = _trigrams(cp)
+    letter, tri = trigrams(cp)
     digit = _digits()[cp]
     alnum = alnum_table()[cp]
     gap = (cp == 32) & ~before_space & after_space & np.concatenate((inside[1:], [False]))
@@ -232,7 +220,7 @@ class Fixed:
     """The fixed tables on the driver; they go to the workers with the function."""
 
     def __init__(self, words: DataFrame, samples: DataFrame, documents: DataFrame | None = None) -> None:
-        self.words = [r[0] for r in words.select("word").where("word is not null").limit(FIXED_ROWS).collect()]
+        self.words = [r[0] for r in labels.bounded(words.select("word").where("word is not null"), FIXED_ROWS, "common words")]
         self.right, seen = labels.sample(documents, samples) if documents is not None else labels.sample(samples.limit(0), samples, "sample_id")
         self.dictionaries = decoding.dictionaries(self.right, seen)
 
@@ -240,27 +228,7 @@ class Fixed:
         return Language(self.words, [t for ts in self.right.values() for t in ts])
 
 
-def _measure(fixed: Fixed, limits: Limits):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        language, coder = fixed.language(), decoding.Coder(fixed.dictionaries)
-        for batch in batches:
-            ids, texts = rows_of(batch)
-            for block in blocks(texts):
-                sums = document_sums(block, language)
-                kind = kinds(sums, limits)
-                known = sums[:, DOC.index("known")] / np.maximum(sums[:, DOC.index("solid")], 1)
-                doubt = np.flatnonzero(known < limits.look_closer)
-                if len(doubt):
-                    again = Block(_readable([block.texts[i] for i in doubt], coder), 0)
-                    kind[doubt] = kinds(document_sums(again, language), limits)
-                yield arrow({"doc_id": ids[block.first : block.first + block.n]} | measured(sums) | {"kind": kind.astype(object)})
-
-    return run
-
-
-# --- documents beyond a chunk ---------------------------------------------------
-
-STATE = "doc_id bigint, chunk bigint, sums array<double>, head array<double>, tail array<double>, broken boolean, first_word string, last_word string"
+# --- chunks and their states ---------------------------------------------------------
 
 
 def _open_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -322,79 +290,112 @@ def chunk_state(text: str, left: int, right: int, language: Language) -> dict:
     return {"sums": inner, "head": lines[0], "tail": lines[-1] if broken else np.zeros(len(LINE)), "broken": broken, "first_word": first, "last_word": last}
 
 
-def _readable_chunk(text: str, left: int, right: int, coder: decoding.Coder) -> str:
-    """A chunk made readable between its context, which stays."""
-    end = len(text) - right
-    return text[:left] + _readable([text[left:end]], coder)[0] + text[end:]
+SOLID, KNOWN = DOC.index("solid"), DOC.index("known")
+NAMES = [c.split()[0] for c in MEASURES.split(", ")]
+#: A chunk's row: its measures where it is the whole document, else its state.
+ROW = f"doc_id bigint, row bigint, chunk bigint, n int, state binary, {MEASURES}"
 
 
-def _chunk_states(fixed: Fixed, readable: bool):
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _in_doubt(sums: np.ndarray, limits: Limits) -> np.ndarray:
+    return sums[:, KNOWN] / np.maximum(sums[:, SOLID], 1) < limits.look_closer
+
+
+def _finished(raw: np.ndarray, readable: np.ndarray, limits: Limits) -> dict[str, np.ndarray]:
+    """Measures and kind of documents given their sums as they stand and as made readable."""
+    kind = np.where(_in_doubt(raw, limits), kinds(readable, limits), kinds(raw, limits))
+    return measured(raw) | {"kind": kind.astype(object)}
+
+
+def _chunks(fixed: Fixed, limits: Limits):
+    """Count the chunks (doc_id, text, row, chunk, n, left, right)."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         language, coder = fixed.language(), decoding.Coder(fixed.dictionaries)
-        for pdf in frames:
-            texts = [_readable_chunk(r.text, r.left, r.right, coder) if readable else r.text for r in pdf.itertuples()]
-            rows = [{"doc_id": r.doc_id, "chunk": r.chunk} | chunk_state(t, r.left, r.right, language) for r, t in zip(pdf.itertuples(), texts, strict=True)]
-            yield pd.DataFrame([{k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in r.items()} for r in rows], columns=[c.split()[0] for c in STATE.split(", ")])
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            doc, row, chunk, n, left, right = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4, 5, 6))
+            for block in blocks(texts):
+                own = slice(block.first, block.first + block.n)
+                sums = document_sums(block, language)
+                one = np.flatnonzero((n[own] == 1) & (sums[:, SOLID] > 0))
+                raw, readable = sums[one], sums[one]
+                doubt = np.flatnonzero(_in_doubt(raw, limits))
+                if len(doubt):
+                    readable = raw.copy()
+                    readable[doubt] = document_sums(Block(_readable([block.texts[one[i]] for i in doubt], coder), 0), language)
+                at = block.first + one
+                yield _rows(doc[at], row[at], chunk[at], n[at], [None] * len(at), _finished(raw, readable, limits))
+                parts = np.flatnonzero(n[own] > 1) + block.first
+                if len(parts):
+                    states = [_both(texts[i], int(left[i]), int(right[i]), language, coder, limits) for i in parts]
+                    yield _rows(doc[parts], row[parts], chunk[parts], n[parts], states, None)
 
     return run
 
 
+def _both(text: str, left: int, right: int, language: Language, coder: decoding.Coder, limits: Limits) -> bytes:
+    """States of a chunk as it stands and, where it is in doubt, as made readable between its context."""
+    raw = chunk_state(text, left, right, language)
+    if not _in_doubt(whole(raw)[None], limits)[0]:
+        return pickle.dumps((raw, raw))
+    end = len(text) - right
+    body = _readable([text[left:end]], coder)[0]
+    return pickle.dumps((raw, chunk_state(text[:left] + body + text[end:], left, right, language)))
+
+
+def _rows(doc: np.ndarray, row: np.ndarray, chunk: np.ndarray, n: np.ndarray, states: list[bytes | None], measures: dict[str, np.ndarray] | None) -> pa.RecordBatch:
+    kinds_of = {c.split()[0]: {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}[c.split()[1]] for c in MEASURES.split(", ")}
+    own = {k: pa.nulls(len(doc), t) if measures is None else pa.array(measures[k], t) for k, t in kinds_of.items()}
+    return arrow({"doc_id": doc.astype(np.int64), "row": row.astype(np.int64), "chunk": chunk.astype(np.int64), "n": n.astype(np.int32), "state": pa.array(states, pa.binary())} | own)
+
+
 def _merge_node(fixed: Fixed):
     made: list[Language] = []
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         if not made:
             made.append(fixed.language())
-        language = made[0]
-        rows = pdf.sort_values("chunk").to_dict("records")
-        state = rows[0]
-        for r in rows[1:]:
-            state = merge(state, r, language)
-        state = {k: v.tolist() if isinstance(v, np.ndarray) else v for k, v in state.items()}
-        return pd.DataFrame([state | {"chunk": int(rows[0]["chunk"]) // FAN}])[list(pdf.columns)]
+        rows = pdf.sort_values("chunk")
+        raw, readable = pickle.loads(rows["state"].iloc[0])
+        for state in rows["state"].iloc[1:]:
+            a, b = pickle.loads(state)
+            raw, readable = merge(raw, a, made[0]), merge(readable, b, made[0])
+        first = rows.iloc[0]
+        return pd.DataFrame([{"doc_id": first["doc_id"], "row": first["row"], "chunk": int(first["chunk"]) // FAN, "state": pickle.dumps((raw, readable))}])
 
     return run
 
 
-def long_documents(docs: DataFrame, fixed: Fixed, longest: int, limits: Limits, chunk: int) -> DataFrame:
-    n = F.ceil(F.length("text") / chunk).cast("int")
-    at = F.col("chunk") * chunk
-    left = F.least(at, F.lit(CONTEXT))
-    pieces = (
-        docs.dropDuplicates(["doc_id"])
-        .select("doc_id", "text", F.length("text").alias("size"), F.explode(F.sequence(F.lit(0).cast("bigint"), (n - 1).cast("bigint"))).alias("chunk"))
-        .select("doc_id", "chunk", "text", left.cast("int").alias("left"), F.greatest(F.lit(0), F.least(F.lit(CONTEXT), F.col("size") - at - chunk)).cast("int").alias("right"), at.cast("int").alias("at"))
-        .select("doc_id", "chunk", "left", "right", F.expr(f"substring(text, at - left + 1, {chunk} + left + right)").alias("text"))
-        .repartition("doc_id", "chunk")
-    )
-
-    def finish(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _whole_documents(limits: Limits):
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             if len(pdf):
-                sums = np.stack([whole(r) for r in pdf.to_dict("records")])
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()} | measured(sums) | {"kind": kinds(sums, limits)})
-
-    def merged(pieces: DataFrame, readable: bool) -> DataFrame:
-        states = pieces.mapInPandas(_chunk_states(fixed, readable), STATE)
-        nodes = -(-longest // chunk)
-        while nodes > 1:
-            states = states.groupBy("doc_id", F.floor(F.col("chunk") / FAN)).applyInPandas(_merge_node(fixed), STATE)
-            nodes = -(-nodes // FAN)
-        return states.mapInPandas(finish, "doc_id bigint, " + MEASURES)
+                both = [pickle.loads(s) for s in pdf["state"]]
+                raw, readable = (np.stack([whole(b[i]) for b in both]) for i in (0, 1))
+                out = pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()} | _finished(raw, readable, limits))
+                yield out[raw[:, SOLID] > 0]
 
-    raw = merged(pieces, False)
-    doubt = raw.where(F.col("known_share") < limits.look_closer).select("doc_id")
-    again = merged(pieces.join(doubt, "doc_id", "left_semi"), True).select("doc_id", F.col("kind").alias("kind_again"))
-    return raw.join(again, "doc_id", "left").withColumn("kind", F.coalesce("kind_again", "kind")).drop("kind_again")
+    return run
 
 
 def statistics(df: DataFrame, words: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits(), chunk: int = CHUNK) -> DataFrame:
     """One row per document: its statistics and kind."""
     fixed = Fixed(words, samples)
     docs = docs_in(df, id_col, text_col)
-    longest = docs.agg(F.max(F.length("text"))).first()[0] or 0
-    short = docs if longest <= chunk else docs.where(F.length("text") <= chunk)
-    out = short.mapInArrow(_measure(fixed, limits), "doc_id bigint, " + MEASURES)
-    if longest > chunk:
-        out = out.union(long_documents(docs.where(F.length("text") > chunk), fixed, longest, limits, chunk))
-    return out
+    number = lambda x: F.lit(x).cast("int")
+    short = docs.where(F.length("text") <= chunk).select("doc_id", "text", F.lit(0).cast("bigint").alias("row"), F.lit(0).cast("bigint").alias("chunk"), number(1).alias("n"), number(0).alias("left"), number(0).alias("right"))
+    size = F.length("text")
+    at = F.col("chunk") * chunk
+    long = docs.where(size > chunk).select("doc_id", "text", F.monotonically_increasing_id().alias("row"), F.ceil(size / chunk).cast("int").alias("n"))
+    long = long.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("n") - 1).cast("bigint"))).alias("chunk"))
+    long = long.select("doc_id", "text", "row", "chunk", "n", F.least(at, F.lit(CONTEXT)).cast("int").alias("left"), F.greatest(F.lit(0), F.least(F.lit(CONTEXT), size - at - chunk)).cast("int").alias("right"))
+    cut = F.expr(f"substring(text, cast(chunk * {chunk} as int) - left + 1, {chunk} + left + right)")
+    long = long.select("doc_id", cut.alias("text"), "row", "chunk", "n", "left", "right").repartition("row", "chunk")
+    rows = stored(short.mapInArrow(_chunks(fixed, limits), ROW).union(long.mapInArrow(_chunks(fixed, limits), ROW)), "chunks")
+    states = rows.where("n > 1").select("doc_id", "row", "chunk", "state")
+    nodes = rows.agg(F.max("n")).first()[0] or 1
+    while nodes > 1:
+        states = states.groupBy("row", F.floor(F.col("chunk") / FAN)).applyInPandas(_merge_node(fixed), "doc_id bigint, row bigint, chunk bigint, state binary")
+        nodes = -(-nodes // FAN)
+    cut_up = states.mapInPandas(_whole_documents(limits), f"doc_id bigint, {MEASURES}")
+    return rows.where("n = 1").select("doc_id", *NAMES).union(cut_up)

@@ -60,6 +60,26 @@ def fold_table() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def letter_table() -> np.ndarray:
+    table = np.fromiter((chr(i).isalpha() for i in range(TABLE_END)), bool, TABLE_END)
+    table[-1] = False
+    return table
+
+
+#: Bits of a trigram's hash.
+TRIGRAM_BITS = 20
+
+
+def trigrams(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mask of letters, and a hash of each with its neighbours, without case; what is no letter is one neighbour."""
+    letter = letter_table()[cp]
+    c = np.where(letter, fold_table()[cp], 0).astype(U64)
+    before = np.concatenate((np.zeros(1, U64), c[:-1]))
+    after = np.concatenate((c[1:], np.zeros(1, U64)))
+    return letter, (mix(before << U64(40) | c << U64(20) | after) & U64((1 << TRIGRAM_BITS) - 1)).astype(np.int64)
+
+
 class _Powers:
     def __init__(self) -> None:
         self.up = np.ones(1, U64)

@@ -160,7 +160,7 @@ def test_language_of_held_out_passages(spark, fixed):
         texts.setdefault(lang, []).append(t)
     model = language.Model(texts)
     main, _, _ = language.judged(Block([t for _, t in test], 0), model)
-    assert np.mean([language.LANGS[m] == lang for m, (lang, _) in zip(main, test, strict=True)]) >= 0.98
+    assert np.mean([model.langs[m] == lang for m, (lang, _) in zip(main, test, strict=True)]) >= 0.98
 
 
 def test_language_labels_and_passages(spark, real, fixed):
@@ -169,9 +169,51 @@ def test_language_labels_and_passages(spark, real, fixed):
     found = language.documents(df, *fixed)
     got = {(r[0], r[1]) for r in language.mislabelled(found).where("doc_id <= 10").collect()}
     assert got == {(3, "tr"), (4, "tr"), (5, "tr"), (5, "en"), (7, "en")}
-    passage = language.passages(df, *fixed).where("doc_id = 5").collect()
-    assert [(r["lang"], (TR + "\n" + EN + "\n" + TR)[r["start"] : r["end"]]) for r in passage] == [("en", EN)]
+    text = TR + "\n" + EN + "\n" + TR
+    segments = [(r["lang"], text[r["start"] : r["end"]].strip(), r["other"]) for r in language.passages(df, *fixed).where("doc_id = 5").orderBy("start").collect()]
+    assert segments == [("tr", TR, False), ("en", EN, True), ("tr", TR, False)]
     assert found.where("confidence is null or confidence < 0 or confidence > 1").isEmpty()
+    assert pairs(found.where("doc_id in (8, 9, 10)").select("doc_id", "lang")) == [(10, None)]
+
+
+#: Clean texts in languages that the labelled passages do not have.
+FOREIGN = {
+    "pl": "Burmistrz oświadczył, że główna ulica miasta zostanie zamknięta. Mieszkańcy są bardzo źli, ponieważ muszą jeździć dłuższą drogą do pracy. Żółta tablica stoi już na skrzyżowaniu.",
+    "cs": "Starosta řekl, že hlavní ulice bude uzavřena. Příliš žluťoučký kůň úpěl ďábelské ódy. Včera večer všichni seděli na zahradě a dlouho si povídali.\nŠÉF ÚŘADU NÍŽE PODEPSANÝ",
+    "pt": "O prefeito disse que a rua principal não será fechada. As crianças estão na escola e os pais vão às reuniões.\nINFORMAÇÕES SÃO PÚBLICAS",
+    "ro": "Primarul a spus că strada principală va fi închisă și că locuitorii trebuie să aștepte. Aseară toți au stat în grădină.\nŢara noastră şi oraşul",
+    "el": "Ο δήμαρχος είπε ότι ο κεντρικός δρόμος θα κλείσει. Χθες το βράδυ όλοι κάθισαν στον κήπο.\nΆνθρωποι και Ήλιος, ΕΛΛΗΝΙΚΉ ΔΗΜΟΚΡΑΤΊΑ",
+    "uk": "Міський голова сказав, що головна вулиця буде зачинена. Учора ввечері всі сиділи в саду, їхні діти ґречно гралися.\nУкраїнська мова є гарною",
+    "it": "Il sindaco ha detto che la strada principale sarà chiusa perché è vecchia. Così lunedì nessuno potrà più andare in città. Però la società è già pronta.",
+    "sv": "Borgmästaren sade att huvudgatan skall stängas. I går kväll satt alla i trädgården och pratade länge. Åsa gick över ån.",
+    "vi": "Thị trưởng nói rằng con đường chính sẽ bị đóng cửa. Tối qua mọi người ngồi trong vườn và nói chuyện rất lâu.",
+    "ar": "قال رئيس البلدية إن الشارع الرئيسي سيغلق غدا. جلس الجميع مساء أمس في الحديقة وتحدثوا طويلا.",
+    "sr": "Градоначелник је рекао да ће главна улица бити затворена. Људи су дуго разговарали у башти.",
+    "hu": "A polgármester azt mondta, hogy a főutcát lezárják. Tegnap este mindenki a kertben ült. Őszintén szólva, fűszer.",
+    "is": "Bæjarstjórinn sagði að aðalgötunni yrði lokað. Í gærkvöldi sátu allir í garðinum og töluðu lengi saman. Það þarf þó.",
+}
+
+
+def test_languages_beyond_the_passages(spark, real, fixed):
+    df = docs(spark, list(FOREIGN.values())).select("doc_id", "text", "lang").union(real.select("doc_id", "text", "lang").where("doc_id > 1000").limit(150))
+    got = {r["doc_id"]: r["lang"] for r in language.documents(df, *fixed).where(F.col("doc_id") < len(FOREIGN)).collect()}
+    assert got == dict.fromkeys(range(len(FOREIGN)))
+    more = fixed[1].select("sample_id", "lang", "text").union(spark.createDataFrame([(900 + i, "pl", FOREIGN["pl"]) for i in range(20)], "sample_id bigint, lang string, text string"))
+    assert language.documents(df, fixed[0], more).where("doc_id = 0").first()["lang"] == "pl"
+
+
+def test_clean_texts_of_other_languages_stay(spark, fixed, real):
+    texts = list(FOREIGN.values()) + ["\n".join([t] * 5) for t in FOREIGN.values()]
+    df = docs(spark, texts).unionByName(real.select("doc_id", "text", "lang", "source", F.lit(1).alias("line_no"), F.lit("").alias("kind")).where("doc_id > 1000").limit(60))
+    small = F.col("doc_id") < len(texts)
+    assert decoding.damaged_lines(df, fixed[1]).where(small).count() == 0
+    assert {r["doc_id"]: r["text"] for r in decoding.restored(df, fixed[1]).where(small).collect()} == dict(enumerate(texts))
+
+
+def test_exhaustive_search_finds_what_the_beam_finds(spark, fixed):
+    texts = [TR.encode().decode("latin-1"), TR.encode().decode("cp1252", "replace").encode().decode("latin-1"), TR]
+    every = decoding.Search(depth=2, beam=None)
+    assert pairs(decoding.damaged_lines(docs(spark, texts), fixed[1], search=every).select("doc_id", "line_no").distinct()) == [(0, 0), (1, 0)]
 
 
 # --- page furniture ---------------------------------------------------------------------
@@ -320,6 +362,16 @@ def test_kind_of_damaged_documents_beyond_a_chunk(spark, fixed):
         assert got == {0: "prose", 1: "junk", 2: "prose"}, chunk
 
 
+def test_statistics_are_the_same_at_every_length(spark, fixed):
+    wide = "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in EN)
+    forms = [wide, TR.encode().decode("latin-1"), TR, " \n "]
+    texts = forms + ["\n".join([t] * (2 * statistics.CHUNK // len(t))) for t in forms]
+    df = docs(spark, texts, ids=[*range(7), 3])
+    got = sorted((r["doc_id"], r["kind"], round(r["alpha_ratio"], 2)) for r in statistics.statistics(df.union(df), *fixed).collect())
+    assert [g[0] for g in got] == [0, 0, 1, 1, 2, 2, 4, 4, 5, 5, 6, 6]
+    assert {g[1] for g in got} == {"prose"} and [g[2] for g in got[:6]] == pytest.approx([g[2] for g in got[6:]], abs=0.02)
+
+
 def test_word_counts(spark, fixed):
     got = {r["doc_id"]: r for r in statistics.statistics(docs(spark, ["Bir iki, üç!\nDört. ", "ve da 12"]), *fixed).collect()}
     assert (got[0]["n_words"], got[0]["n_lines"], got[0]["n_chars"]) == (4, 2, 19)
