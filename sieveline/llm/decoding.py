@@ -61,6 +61,8 @@ ALONE, FEW = 0.85, 40
 CLEAR = 0.25
 #: How far the share of the trigrams of a text's ASCII words may lie below what a new text of the language has, and below the best language's.
 FIT, NEAR = 0.1, 0.04
+#: A language whose share is so many times the second best's fits as well.
+AHEAD = 1.25
 
 #: What the languages and their typography write beyond ASCII.
 LETTERS = "çğıöşüÇĞİÖŞÜâîûəƏäÄßàæéèêëïôœùÿÀÉÈÊÎÔáíñóúÁÍÑÓÚ"
@@ -312,7 +314,10 @@ class Coder:
         cp = Block(tokens or [""], 0).clipped()
         letter, t = trigrams(cp)
         shares = {k: float(known[t[letter]].mean()) if letter.any() else 0.0 for k, known in self.known.items()}
-        return {k for k, x in shares.items() if x >= self.whole[k] - FIT and x >= max(shares.values()) - NEAR} if letter.sum() >= FEW else None
+        if letter.sum() < FEW:
+            return None
+        best, second = ([*sorted(shares.values(), reverse=True), 0.0, 0.0])[:2]
+        return {k for k, x in shares.items() if x >= self.whole[k] - FIT and x >= best - NEAR or x == best > AHEAD * second}
 
     def near(self, text: str) -> frozenset[str]:
         """The languages to try a text's decodings in: Russian, and two of those that its ASCII letters fit best."""
@@ -395,13 +400,16 @@ def _supported(old: str, new: str, chain: tuple[tuple[str, str], ...], coder: Co
     was, now = list((a - b).elements()), list((b - a).elements())
     now = [_SIGNS.sub("", w) for w in now]
     fits = coder.fits([w for w in new.split() if w.isascii()])
-    langs = coder.known if fits is None else fits
-    before = max((coder.share(was, k) for k in langs), default=0.0)
-    least = ALONE if fits is None else KNOWN
-    if was and all(c in _usual() for w in was for c in w):
-        least = CLEAR  # what stood there before were letters of the languages as well, so the gain tells
-        before += CLEAR - GAIN
-    return any(coder.share(now, k) >= max(least * coder.whole[k] ** 4, before + GAIN) for k in langs)
+    for lang in coder.known:
+        before, after = coder.share(was, lang), coder.share(now, lang)
+        if fits is not None and lang not in fits:
+            continue
+        least, gain = ALONE if fits is None else KNOWN, GAIN
+        if was and all(c in _usual() for w in was for c in w):
+            least = gain = CLEAR  # what stood there before were letters of the languages as well, so the gain tells
+        if after >= max(least * coder.whole[lang] ** 4, before + gain):
+            return True
+    return False
 
 
 def best_chain(text: str, coder: Coder, cyrillic: bool) -> tuple[tuple[str, str], ...]:
