@@ -57,6 +57,19 @@ TURKISH = LanguageProfile(
     ),
 )
 
+#: Frequent function words of other languages; what a text is told from when nothing better says its language.
+FUNCTION_WORDS = {
+    "az": ("və", "bu", "ilə", "üçün", "bir", "də", "olan", "onun", "edir", "kimi", "isə", "çox", "daha", "o", "da", "var", "ki", "həm"),
+    "de": ("der", "die", "und", "das", "ist", "nicht", "ein", "eine", "zu", "den", "mit", "von", "auf", "für", "dem", "sich", "auch", "war"),
+    "en": ("the", "of", "and", "to", "in", "is", "that", "it", "was", "for", "with", "on", "are", "this", "be", "have", "not", "they"),
+    "es": ("el", "la", "los", "de", "que", "y", "en", "un", "una", "por", "con", "para", "del", "se", "las", "no", "es", "su"),
+    "fr": ("le", "la", "les", "et", "des", "est", "une", "dans", "que", "qui", "pour", "pas", "sur", "avec", "du", "il", "au", "plus"),
+    "it": ("il", "di", "che", "e", "la", "per", "non", "con", "sono", "della", "una", "le", "gli", "è", "del", "si", "nel", "anche"),
+    "nl": ("de", "het", "een", "van", "en", "in", "is", "dat", "op", "te", "zijn", "voor", "niet", "met", "er", "aan", "ook", "die"),
+    "pt": ("o", "de", "que", "e", "do", "da", "em", "um", "para", "com", "não", "uma", "os", "no", "se", "na", "as", "são"),
+    "ru": ("и", "в", "не", "на", "что", "с", "по", "это", "как", "он", "из", "для", "но", "к", "за", "от", "был", "все"),
+}
+
 #: Turkish suffixes that a vocabulary extension prefers.
 TURKISH_SUFFIXES = (
     "lar", "ler", "dır", "dir", "dur", "dür", "tır", "tir", "tur", "tür",

@@ -13,10 +13,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.profiles import FUNCTION_WORDS, LanguageProfile
 from ..functions.text import words
 
 #: Characters of a text that a prediction reads.
 WINDOW = 5_000
+#: Share of the function words below which a language is not named.
+LEAST_SHARE = 0.1
 PREDICTION = "array<struct<lang:string,score:double>>"
 
 
@@ -26,15 +29,25 @@ def from_column(lang: Column, confidence: float = 0.9) -> Column:
 
 
 def by_function_words(text: Column, lists: Mapping[str, Sequence[str]], top: int = 3) -> Column:
-    """The languages of most function words, each scored by its share of them."""
+    """The languages of most function words.
+
+    A language is scored by the share of its words among those that any of the
+    languages has, and one more, so a few words prove little. Languages may
+    share words; one alone would win every text that has a word of it.
+    """
     own = words(F.lower(F.substring(F.regexp_replace(text, "\n", " "), 1, WINDOW)))
     of = lambda ws: F.size(F.filter(own, lambda w: w.isin(*ws)))
     votes = F.array(*(F.struct((-of(ws)).alias("n"), F.lit(k).alias("lang")) for k, ws in sorted(lists.items())))
-    total = F.aggregate(votes, F.lit(0), lambda a, v: a - v["n"])
-    some = F.filter(F.slice(F.array_sort(votes), 1, top), lambda v: v["n"] < 0)
+    total = of(sorted({w for ws in lists.values() for w in ws})) + 1
+    some = F.filter(F.slice(F.array_sort(votes), 1, top), lambda v: -v["n"] / total >= LEAST_SHARE)
     return F.transform(some, lambda v: F.struct(v["lang"].alias("lang"), (-v["n"] / total).alias("score")))
 
 
+def default_lists(profile: LanguageProfile) -> dict[str, Sequence[str]]:
+    """Function words of the target language and of those it is told from."""
+    return FUNCTION_WORDS | {profile.code: profile.stopwords}
+
+
 def info(predictions: Column, features: Column, method: str) -> Column:
     """The struct that is kept of a prediction."""
     first = F.get(predictions, F.lit(0))

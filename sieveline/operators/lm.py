@@ -40,6 +40,11 @@ def sentences(text: Column) -> Column:
     return F.filter(F.transform(parts, lambda s: words(F.lower(s))), lambda w: F.size(w) >= 3)
 
 
+def seed_accepted(reasons: Column, lang_decision: Column) -> Column:
+    """A record that breaks no rule and is not of another language."""
+    return (F.size(reasons) == 0) & (lang_decision != "reject")
+
+
 def seed_corpus(df: DataFrame, text_col: str, order: Sequence[str], accepted: Column, cfg: Config) -> DataFrame:
     """(sentence) of the first ``seed_records`` accepted records."""
     some = df.where(accepted & (F.coalesce(F.col(text_col), F.lit("")) != "")).orderBy(*order).limit(cfg.seed_records)

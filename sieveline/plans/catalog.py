@@ -19,7 +19,7 @@ from ..operators.decision import label
 from ..sources import files, resolver, sinks
 from ..streaming.incremental import pending
 from .pipeline import decide, featured
-from .storage import spread
+from .storage import bounded, spread
 
 CFG = Config()
 #: Thresholds under which more rules fire on clean text.
@@ -76,13 +76,21 @@ def language_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 def function_word_vote(spark: SparkSession, sf: str) -> DataFrame:
     lists: dict[str, list[str]] = {}
-    for lang, word in table(spark, sf, "common_words").limit(20_000).collect():  # a fixed table
+    for lang, word in bounded(table(spark, sf, "common_words"), 100_000, "common words"):  # a fixed table
         lists.setdefault(lang, []).append(word)
     rows = documents(spark, sf).where("text is not null").select("doc_id", language.by_function_words(F.col("text"), lists).alias("p"))
     first = F.get("p", F.lit(0))
     return rows.select("doc_id", F.coalesce(first["lang"], F.lit("unknown")).alias("lang"), tx.round_half_up(F.coalesce(first["score"], F.lit(0.0)), 4).alias("score"))
 
 
+def default_language(spark: SparkSession, sf: str) -> DataFrame:
+    """The decision where no provider names a language: a vote of function words."""
+    rows = featured(documents(spark, sf).where("text is not null"), CFG)
+    said = language.by_function_words(F.col("text"), language.default_lists(CFG.profile))
+    rows = rows.withColumn("l", tx.once(language.info(said, F.col("features"), "function_words")))
+    return rows.select("doc_id", "l.detected_lang", tx.round_half_up(F.col("l.confidence"), 6).alias("confidence"), language.decision(F.col("l"), CFG).alias("lang_decision"))
+
+
 def exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     rows = documents(spark, sf).select("doc_id", tx.normalize(F.col("text")).alias("text"))
     return dedup.mark_exact(rows, F.col("text"), ["doc_id"]).select("doc_id", "is_exact_dup")
@@ -210,9 +218,15 @@ def lm_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return documents(spark, sf).where("text is not null").select("doc_id", F.size(own).cast("bigint").alias("n_tokens"), F.md5(F.array_join(lm.window(own, CFG), " ")).alias("window"))
 
 
+def _seed_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, Column]:
+    rows = featured(documents(spark, sf, F.col("lang").alias("lang_label")).where("text is not null"), CFG)
+    rows = rows.withColumn("l", language.info(predictions(), F.col("features"), "provider"))
+    return rows, lm.seed_accepted(F.col("heuristic_reasons"), language.decision(F.col("l"), CFG))
+
+
 def _seed(spark: SparkSession, sf: str) -> DataFrame:
-    rows = featured(documents(spark, sf).where("text is not null"), CFG)
-    return lm.seed_corpus(rows, "text", ["doc_id"], F.size("heuristic_reasons") == 0, CFG)
+    rows, accepted = _seed_rows(spark, sf)
+    return lm.seed_corpus(rows, "text", ["doc_id"], accepted, CFG)
 
 
 def seed_corpus(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,8 +234,8 @@ def seed_corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def seed_stats(spark: SparkSession, sf: str) -> DataFrame:
-    rows = featured(documents(spark, sf).where("text is not null"), CFG)
-    return lm.seed_stats(rows, "text", F.size("heuristic_reasons") == 0)
+    rows, accepted = _seed_rows(spark, sf)
+    return lm.seed_stats(rows, "text", accepted)
 
 
 def sampled_shards(spark: SparkSession, sf: str) -> DataFrame:
@@ -320,7 +334,7 @@ def extended_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
-        normalize_text, text_features, reason_histogram, language_decision, language_histogram, function_word_vote, exact_dedup, exact_dedup_stats, shingle_counts, near_dedup, near_dedup_stats,
+        normalize_text, text_features, reason_histogram, language_decision, language_histogram, function_word_vote, default_language, exact_dedup, exact_dedup_stats, shingle_counts, near_dedup, near_dedup_stats,
         quality_score, decision, decision_summary, shard_report, shard_reasons, rejection_top20, run_language_histogram, perplexity_percentiles, length_percentiles, perplexity_csv,
         bernoulli_sample, audit_sample, shard_sample, reject_records, eos_append, hash_shards, shard_sizes, oversize_split, shard_count, rolled_shards, balanced_shards, lm_tokens, seed_corpus,
         seed_stats, sampled_shards, ngram_counts, lm_discounts, lm_score, lm_verdict, inspect_summary, parse_lines, malformed_records, prepare_counters, key_frequencies, shard_names,
@@ -483,10 +497,16 @@ def oracle_sql() -> dict[str, str]:
     marked = f"SELECT doc_id, t, t IS NOT NULL AND row_number() OVER (PARTITION BY {key} ORDER BY doc_id) > 1 AS is_exact_dup FROM ({normed})"
     sharded = f"SELECT doc_id, line, {_shard('line', '16')} AS shard FROM (SELECT doc_id, {_eos()} AS line FROM documents WHERE text IS NOT NULL)"
     split = f"list_filter(list_transform(string_split(regexp_replace(t, {_q(f'([.!?…])[{_WS}]+')}, '\\1' || chr(1), 'g'), chr(1)), lambda s: {_words(_lower('s'))}), lambda w: len(w) >= 3)"
-    seed = f"{feats}, ok AS (SELECT doc_id, t FROM feat WHERE len({_rules(CFG)}) = 0 AND t <> '' ORDER BY doc_id LIMIT {CFG.seed_records}), sent AS (SELECT unnest({split}) AS s FROM ok)"
+    labelled = f"{_features_cte('text is not null', ', lang AS lang_label')}, {_lang_cte()}"
+    seed = f"{labelled}, ok AS (SELECT doc_id, t FROM ld WHERE len({_rules(CFG)}) = 0 AND lang_decision <> 'reject' AND t <> '' ORDER BY doc_id LIMIT {CFG.seed_records}), sent AS (SELECT unnest({split}) AS s FROM ok)"
     bigrams = f"{seed}, b AS (SELECT unnest(list_transform(generate_series(1, len(x) - 1), lambda i: x[i] || ' ' || x[i + 1])) AS gram FROM (SELECT list_concat(list_concat(['<s>'], s), ['</s>']) AS x FROM sent)), bc AS (SELECT gram, count(*) AS n FROM b GROUP BY gram)"
     own = _words(_lower("replace(text, chr(10), ' ')"))
     votes = f"SELECT doc_id, unnest(list_filter({_words(_lower('substr(replace(text, chr(10), chr(32)), 1, 5000)'))}, lambda x: x <> '')) AS word FROM documents WHERE text IS NOT NULL"
+    ranked = (
+        "c AS (SELECT doc_id, lang, count(*) AS n FROM v JOIN w USING (word) GROUP BY 1, 2), t AS (SELECT doc_id, count(*) + 1 AS total FROM v WHERE word IN (SELECT word FROM w) GROUP BY 1), "
+        f"r AS (SELECT c.doc_id, lang, n / total AS score, row_number() OVER (PARTITION BY c.doc_id ORDER BY n DESC, lang) AS k FROM c JOIN t ON t.doc_id = c.doc_id QUALIFY score >= {language.LEAST_SHARE})"
+    )
+    listed = ", ".join(f"({_q(k)}, {_q(x)})" for k, ws in language.default_lists(CFG.profile).items() for x in ws)
     lines = f"SELECT raw_line AS raw, _shard, _line_num FROM input_lines WHERE {_all('raw_line', f'[{_WS}]+')} <> ''"
     value = "json_extract(j, '$.text')"
     as_text = f"CASE json_type({value}) WHEN 'VARCHAR' THEN json_extract_string(j, '$.text') WHEN 'NULL' THEN NULL ELSE {value}::varchar END"
@@ -511,8 +531,13 @@ def oracle_sql() -> dict[str, str]:
         "reason_histogram": f"WITH {feats} SELECT reason, count(*) AS n FROM (SELECT unnest({_rules(STRICT)}) AS reason FROM feat) GROUP BY reason",
         "language_decision": f"WITH {_features_cte('text is not null', ', lang AS lang_label')}, {_lang_cte()} SELECT doc_id, detected_lang, confidence, lang_decision FROM ld",
         "language_histogram": f"WITH {_features_cte('text is not null', ', lang AS lang_label')}, {_lang_cte()} SELECT detected_lang AS lang, count(*) AS n FROM ld GROUP BY 1",
-        "function_word_vote": f"WITH v AS ({votes}), c AS (SELECT doc_id, lang, count(*) AS n FROM v JOIN common_words USING (word) GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS total, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, lang) AS k FROM c) "
-        f"SELECT d.doc_id, coalesce(r.lang, 'unknown') AS lang, {_half('coalesce(r.n / r.total, 0)', 4)} AS score FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND k = 1 WHERE d.text IS NOT NULL",
+        "function_word_vote": f"WITH v AS ({votes}), w AS (SELECT lang, word FROM common_words), {ranked} "
+        f"SELECT d.doc_id, coalesce(r.lang, 'unknown') AS lang, {_half('coalesce(r.score, 0)', 4)} AS score FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND k = 1 WHERE d.text IS NOT NULL",
+        "default_language": f"WITH {feats}, v AS (SELECT doc_id, unnest({_words(_lower('substr(replace(t, chr(10), chr(32)), 1, 5000)'))}) AS word FROM feat), w AS (SELECT * FROM (VALUES {listed}) AS x(lang, word)), {ranked}, "
+        "said AS (SELECT f.*, a.lang AS l1, a.score AS s1, b.lang AS l2, coalesce(tr.score, 0) AS tr FROM feat f LEFT JOIN r a ON a.doc_id = f.doc_id AND a.k = 1 LEFT JOIN r b ON b.doc_id = f.doc_id AND b.k = 2 LEFT JOIN r tr ON tr.doc_id = f.doc_id AND tr.k <= 3 AND tr.lang = 'tr'), "
+        "q AS (SELECT *, turkish_char_ratio >= 0.015 AS tc, stopword_coverage >= 0.005 AS sw, coalesce(l1 = 'tr', false) OR coalesce(l2 = 'tr', false) AS near FROM said) "
+        f"SELECT doc_id, coalesce(l1, 'unknown') AS detected_lang, {_half('coalesce(s1, 0)', 6)} AS confidence, CASE WHEN coalesce(l1 = 'tr', false) AND s1 >= {CFG.high_confidence} THEN 'accept' WHEN near AND tr >= {CFG.min_confidence} AND (tc OR sw) THEN 'accept' WHEN tc AND sw AND near THEN 'accept' "
+        f"WHEN coalesce(l1, '') <> 'tr' AND coalesce(s1, 0) >= {CFG.reject_confidence} AND NOT tc AND NOT sw THEN 'reject' WHEN tc OR sw OR near THEN 'borderline' ELSE 'reject' END AS lang_decision FROM q",
         "exact_dedup": f"SELECT doc_id, is_exact_dup FROM ({marked})",
         "exact_dedup_stats": f"SELECT count(t) AS total_checked, count(t) - count(*) FILTER (WHERE is_exact_dup) AS unique_count, count(*) FILTER (WHERE is_exact_dup) AS duplicate_count, {_half('count(*) FILTER (WHERE is_exact_dup) / greatest(count(t), 1)', 4)} AS duplicate_ratio FROM ({marked})",
         "shingle_counts": f"SELECT doc_id, CASE WHEN length(k) < 5 THEN 1 ELSE len(list_distinct(list_transform(generate_series(1, length(k) - 4), lambda i: substr(k, i, 5)))) END::bigint AS n_shingles FROM (SELECT doc_id, {_lower(_strip('text'))} AS k FROM documents WHERE text IS NOT NULL)",
@@ -539,7 +564,7 @@ def oracle_sql() -> dict[str, str]:
         "balanced_shards": f"SELECT doc_id, (coalesce(sum(strlen(text) + 1) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // {TARGET})::bigint AS shard_index FROM documents WHERE text IS NOT NULL",
         "lm_tokens": f"SELECT doc_id, len(w)::bigint AS n_tokens, md5(array_to_string(CASE WHEN len(w) > 500 THEN list_concat(list_concat(w[1:166], w[((len(w) - 166) // 2 + 1):((len(w) - 166) // 2 + 166)]), w[(len(w) - 165):len(w)]) ELSE w END, ' ')) AS window FROM (SELECT doc_id, {own} AS w FROM documents WHERE text IS NOT NULL)",
         "seed_corpus": f"WITH {seed} SELECT array_to_string(s, ' ') AS sentence, count(*) AS n FROM sent GROUP BY 1",
-        "seed_stats": f"WITH {feats}, a AS (SELECT *, len({_rules(CFG)}) = 0 AS fine FROM feat) SELECT count(*) AS scanned, count(*) FILTER (WHERE fine) AS accepted, coalesce(sum(CASE WHEN fine THEN len({split}) END), 0)::bigint AS sentences FROM a",
+        "seed_stats": f"WITH {labelled}, a AS (SELECT *, len({_rules(CFG)}) = 0 AND lang_decision <> 'reject' AS fine FROM ld) SELECT count(*) AS scanned, count(*) FILTER (WHERE fine) AS accepted, coalesce(sum(CASE WHEN fine THEN len({split}) END), 0)::bigint AS sentences FROM a",
         "sampled_shards": "WITH s AS (SELECT DISTINCT file_name AS shard FROM shard_manifest), r AS (SELECT shard, row_number() OVER (ORDER BY shard) - 1 AS r, count(*) OVER () AS n FROM s) SELECT shard FROM r WHERE n <= 3 OR (r % greatest(n // 3, 1) = 0 AND r // greatest(n // 3, 1) < 3)",
         "ngram_counts": f"WITH {bigrams} SELECT gram, n FROM bc WHERE n > 1",
         "lm_discounts": f"WITH {bigrams}, k AS (SELECT count(*) FILTER (WHERE n = 1) AS n1, count(*) FILTER (WHERE n = 2) AS n2, count(*) FILTER (WHERE n = 3) AS n3, count(*) FILTER (WHERE n = 4) AS n4 FROM bc), y AS (SELECT *, n1 / (n1 + 2 * n2) AS y FROM k) SELECT {_half('1 - 2 * y * n2 / n1', 6)} AS d1, {_half('2 - 3 * y * n3 / n2', 6)} AS d2, {_half('3 - 4 * y * n4 / n3', 6)} AS d3 FROM y",
@@ -552,7 +577,7 @@ def oracle_sql() -> dict[str, str]:
         "shard_names": "SELECT file_name, regexp_extract(lower(file_name), '(\\.jsonl?(?:\\.gz)?|\\.parquet)$', 1) AS suffix, regexp_replace(file_name, '(?i)\\.(jsonl\\.gz|json\\.gz|jsonl|json|parquet)$', '') AS stem, contains(file_name, '1') AS chosen FROM shard_manifest",
         "pending_files": "SELECT DISTINCT _shard AS name FROM decisions WHERE _shard IS NOT NULL AND _shard NOT IN (SELECT file_name FROM shard_manifest WHERE state IN ('done', 'processed', 'uploaded') AND file_name IS NOT NULL)",
         "manifest_errors": "SELECT state, count(*) AS n_files, sum(coalesce(len(errors), 0))::bigint AS n_errors, sum(n_bytes)::bigint AS n_bytes FROM shard_manifest GROUP BY state",
-        "source_types": f"SELECT doc_id, CASE WHEN regexp_matches(s, {_q(resolver.CODE_HOST)}) THEN 'github' WHEN regexp_matches(s, {_q(resolver.HUB_URL)}) OR regexp_matches(s, {_q(resolver.HUB_NAME)}) THEN 'huggingface' WHEN contains(s, '/') AND NOT starts_with(s, 'http') THEN 'local' ELSE 'huggingface' END AS kind FROM (SELECT doc_id, trim(coalesce(url, 'data/' || source, './data')) AS s FROM documents)",
+        "source_types": f"SELECT doc_id, CASE WHEN regexp_matches(s, {_q(resolver.CODE_HOST)}) THEN 'github' WHEN regexp_matches(s, {_q(resolver.HUB_NAME)}) THEN 'huggingface' WHEN contains(s, '/') AND starts_with(s, 'http') THEN 'huggingface' ELSE 'local' END AS kind FROM (SELECT doc_id, coalesce(url, 'data/' || source, './data') AS s FROM documents)",
         "word_frequency": frequency,
         "token_candidates": f"{cand} SELECT token, donor_id, frequency, score FROM cand",
         "extended_vocabulary": f"{cand}, top AS (SELECT token, row_number() OVER (ORDER BY score DESC, token) AS n FROM cand QUALIFY n <= 200), b AS (SELECT token, ('0x' || substr(md5(token), 1, 6))::bigint AS id FROM base) SELECT token, id FROM b UNION ALL SELECT token, (SELECT max(id) FROM b) + n FROM top",

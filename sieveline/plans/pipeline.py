@@ -28,7 +28,7 @@ def decide(df: DataFrame, cfg: Config = Config(), predictions: Column | None = N
     if "status" not in df.columns:
         df = df.withColumn("status", F.when(F.col("text").isNull(), "missing_text").otherwise("ok"))
     out = featured(df, cfg)
-    said = predictions if predictions is not None else language.by_function_words(F.col("text"), {cfg.profile.code: cfg.profile.stopwords})
+    said = predictions if predictions is not None else language.by_function_words(F.col("text"), language.default_lists(cfg.profile))
     out = out.withColumn("lang", once(language.info(said, F.col("features"), "provider" if predictions is not None else "function_words")))
     out = out.withColumn("lang_decision", language.decision(F.col("lang"), cfg))
     if lm is None:

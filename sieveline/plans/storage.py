@@ -48,6 +48,50 @@ def listed(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def _at(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _at(spark, path)
+    return fs.exists(p)
+
+
+def renamed(spark: SparkSession, old: str, new: str) -> None:
+    (a, fs), (b, _) = _at(spark, old), _at(spark, new)
+    fs.mkdirs(b.getParent())
+    fs.delete(b, True)
+    if not fs.rename(a, b):
+        raise OSError(f"cannot rename {old}")
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all."""
+    p, fs = _at(spark, path + ".tmp")
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    renamed(spark, path + ".tmp", path)
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    p, fs = _at(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode("utf-8")
+    finally:
+        source.close()
+
+
+def bounded(df: DataFrame, limit: int, what: str) -> list:
+    """All rows of a table that must be small."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} {what}")
+    return rows
+
+
 def removed(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -30,7 +30,7 @@ def path_order(path: Column) -> Column:
     return F.split(F.url_decode(path), "/")
 
 
-def _found(spark: SparkSession, root: str, glob: str, recursive: bool) -> list[tuple[str, int]]:
+def files_under(spark: SparkSession, root: str, endings: tuple[str, ...] = ("",), recursive: bool = True) -> list[tuple[str, int]]:
     """Paths and sizes of the files under a folder, by the file system; file names only reach the driver."""
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(root)
@@ -41,9 +41,9 @@ def _found(spark: SparkSession, root: str, glob: str, recursive: bool) -> list[t
     while it.hasNext():
         f = it.next()
         name = f.getPath().getName().lower()
-        if name.endswith(tuple(glob.split(","))):
+        if name.endswith(endings):
             out.append((f.getPath().toString(), f.getLen()))
-    return out
+    return sorted(out, key=lambda x: x[0].split("/"))
 
 
 def discover(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXES, recursive: bool = True, shard_filter: str | None = None) -> DataFrame:
@@ -51,7 +51,7 @@ def discover(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXES,
 
     ``shard_filter`` is a part of the name, or several whole names with commas.
     """
-    files = spark.createDataFrame(_found(spark, root, ",".join(suffixes), recursive), "path string, size bigint")
+    files = spark.createDataFrame(files_under(spark, root, tuple(suffixes), recursive), "path string, size bigint")
     name = F.element_at(F.split("path", "/"), -1)
     files = files.select("path", name.alias("name"), suffix(name).alias("suffix"), stem(name).alias("stem"), "size")
     return files if not shard_filter else files.where(filtered(F.col("name"), shard_filter))

@@ -15,30 +15,25 @@ from pathlib import Path
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CODE_HOST = r"^(https?://)?(www\.)?github\.com/[^/]+/[^/]+"
-HUB_URL = r"^https?://huggingface\.co/(datasets/)?[^/]+/[^/]+"
-HUB_NAME = r"^[a-zA-Z0-9_-]+/[a-zA-Z0-9_.-]+$"
+#: The forms of names that repositories have.
+CODE_HOST = r"^https?://github\.com/[^/]+/[^/]+"
+HUB_NAME = r"^(https?://huggingface\.co/(datasets/)?)?[a-zA-Z0-9_.-]+/[a-zA-Z0-9_.-]+$"
 
 
 def source_type(source: str) -> str:
     """local, huggingface or github."""
-    s = source.strip()
-    if re.match(CODE_HOST, s):
+    if re.match(CODE_HOST, source):
         return "github"
-    if Path(s).exists():
+    if Path(source).exists():
         return "local"
-    if re.match(HUB_URL, s) or re.match(HUB_NAME, s):
-        return "huggingface"
-    return "local" if "/" in s and not s.startswith("http") or "/" not in s and s.startswith(".") else "huggingface"
+    is_hub = re.match(HUB_NAME, source) or "/" in source and source.startswith("http")
+    return "huggingface" if is_hub else "local"
 
 
 def source_type_of(source: Column) -> Column:
     """The same for a column, for strings that name no local path."""
-    s = F.trim(source)
-    return (
-        F.when(s.rlike(CODE_HOST), "github").when(s.rlike(HUB_URL) | s.rlike(HUB_NAME), "huggingface")
-        .when(s.contains("/") & ~s.startswith("http"), "local").otherwise("huggingface")
-    )
+    is_hub = source.rlike(HUB_NAME) | source.contains("/") & source.startswith("http")
+    return F.when(source.rlike(CODE_HOST), "github").when(is_hub, "huggingface").otherwise("local")
 
 
 Fetcher = Callable[["Source"], str]

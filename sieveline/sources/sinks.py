@@ -12,21 +12,11 @@ JSON = {"ignoreNullFields": "false"}
 
 
 def kept_json(raw: Column, text: Column, text_key: str = "text") -> Column:
-    """The record's JSON with its text replaced; other keys stay, nulls included."""
-    rest = F.map_filter(F.from_json(raw, "map<string,string>"), lambda k, v: k != text_key)
-    # a map of strings gives every value as its JSON text, so the record is put together again as text
-    record = F.regexp_replace(F.trim(raw), r"^\{|\}$", "")
-    own = F.try_variant_get(F.try_parse_json(raw), f"$.{text_key}", "string")
+    """The record's JSON with its text replaced; other keys stay where they are, nulls included. A record is parsed once."""
     quoted = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)
-    simple = F.coalesce(own == text, F.lit(False))
-    members = F.transform(F.map_entries(rest), lambda e: F.concat(quoted(e["key"]), F.lit(":"), _member(raw, e["key"], quoted)))
-    whole = F.concat(F.lit("{"), F.array_join(F.concat(members, F.array(F.concat(quoted(F.lit(text_key)), F.lit(":"), quoted(text)))), ","), F.lit("}"))
-    return F.when(simple, F.concat(F.lit("{"), record, F.lit("}"))).otherwise(whole)
-
-
-def _member(raw: Column, key: Column, quoted) -> Column:
-    fields = F.from_json(raw, "map<string,variant>")
-    return F.coalesce(F.to_json(F.element_at(fields, key)), F.lit("null"))
+    value = lambda e: F.when(e["key"] == text_key, quoted(text)).otherwise(F.coalesce(F.to_json(e["value"]), F.lit("null")))
+    members = F.transform(F.map_entries(F.from_json(raw, "map<string,variant>")), lambda e: F.concat(quoted(e["key"]), F.lit(":"), value(e)))
+    return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 
 def rejected(decided: DataFrame) -> DataFrame:

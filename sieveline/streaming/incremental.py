@@ -15,8 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Config
 from ..operators.dedup import exact_key, mark_exact
+from ..plans import storage
 from ..plans.pipeline import decide
 from ..sources.files import JSON_GLOB, parsed
+from .manifest import Manifest
 
 
 def read_stream(spark: SparkSession, root: str, files_per_batch: int = 64) -> DataFrame:
@@ -26,14 +28,13 @@ def read_stream(spark: SparkSession, root: str, files_per_batch: int = 64) -> Da
 
 
 def _keys(spark: SparkSession, path: str, below: int) -> DataFrame:
-    try:
-        return spark.read.schema("key string, batch bigint").parquet(path).where(F.col("batch") < below)
-    except Exception:  # noqa: BLE001 - no batch has been written yet
+    if not storage.exists(spark, path):  # no batch has been written yet
         return spark.createDataFrame([], "key string, batch bigint")
+    return spark.read.schema("key string, batch bigint").parquet(path).where(F.col("batch") < below)
 
 
-def batch_writer(cfg: Config, on_batch: Callable[[int, DataFrame], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """Writes a batch's decided records, and its new keys."""
+def batch_writer(cfg: Config, on_batch: Callable[[int, DataFrame], None] | None = None, manifest: Manifest | None = None) -> Callable[[DataFrame, int], None]:
+    """Writes a batch's decided records and its new keys, then names its files in the manifest."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -49,16 +50,20 @@ def batch_writer(cfg: Config, on_batch: Callable[[int, DataFrame], None] | None
         decided.drop("__key").write.mode("overwrite").parquet(out)
         new = marked.where("__key is not null and not is_exact_dup").select(F.col("__key").alias("key")).distinct()
         new.write.mode("overwrite").parquet(f"{keys}/batch={number}")
+        if manifest is not None:  # the files of a batch are at most those of its trigger
+            for row in batch.select("_shard").distinct().collect():
+                manifest.mark("processed_files", row[0])
+            manifest.save(spark)
         if on_batch:
             on_batch(number, spark.read.parquet(out))
 
     return write
 
 
-def run(spark: SparkSession, root: str, cfg: Config, files_per_batch: int = 64, on_batch: Callable[[int, DataFrame], None] | None = None) -> StreamingQuery:
+def run(spark: SparkSession, root: str, cfg: Config, files_per_batch: int = 64, on_batch: Callable[[int, DataFrame], None] | None = None, manifest: Manifest | None = None) -> StreamingQuery:
     """Decide the files that are new since the last run, then stop; await its termination."""
     return (
-        read_stream(spark, root, files_per_batch).writeStream.foreachBatch(batch_writer(cfg, on_batch))
+        read_stream(spark, root, files_per_batch).writeStream.foreachBatch(batch_writer(cfg, on_batch, manifest))
         .option("checkpointLocation", cfg.output("checkpoint")).trigger(availableNow=True).start()
     )
 

@@ -11,7 +11,7 @@ from sieveline.functions import text as tx
 from sieveline.functions.profiles import TURKISH
 from sieveline.operators import decision, dedup, heuristics, inspection, language, lm, prepare, reports, sharding, tokenizer
 from sieveline.plans.pipeline import decide, featured
-from sieveline.sources import files, resolver, sinks
+from sieveline.sources import files, resolver, sinks, upload, writers
 from sieveline.streaming import incremental
 from sieveline.streaming.manifest import Manifest
 
@@ -108,7 +108,7 @@ def test_language_decision(spark, top, letters, stop, want):
 def test_function_words_vote(spark):
     lists = {"tr": ["bir", "ve"], "en": ["the", "and"]}
     got = one(spark, "The dog and the cat ve", lambda c: language.by_function_words(c, lists))
-    assert [(p["lang"], p["score"]) for p in got] == [("en", 0.75), ("tr", 0.25)] and one(spark, "xyz", lambda c: language.by_function_words(c, lists)) == []
+    assert [(p["lang"], p["score"]) for p in got] == [("en", 0.6), ("tr", 0.2)] and one(spark, "xyz", lambda c: language.by_function_words(c, lists)) == []
 
 
 @pytest.mark.parametrize(
@@ -246,7 +246,7 @@ def _roll(sizes, target):
 
 
 def test_source_types(tmp_path):
-    assert [resolver.source_type(s) for s in ("owner/name", "my-org/data.v2", "https://huggingface.co/datasets/a/b", "https://github.com/a/b", "github.com/a/b", str(tmp_path), ".")] == ["huggingface"] * 3 + ["github"] * 2 + ["local"] * 2
+    assert [resolver.source_type(s) for s in ("owner/name", "my-org/data.v2", "https://huggingface.co/datasets/a/b", "https://github.com/a/b", "http://github.com/a/b.git", str(tmp_path), ".", "github.com/a/b", "missing", "./no/such", "own.er/name")] == ["huggingface"] * 3 + ["github"] * 2 + ["local"] * 5 + ["huggingface"]
     assert resolver.resolve(str(tmp_path)).prepare() == str(tmp_path)
     with pytest.raises(FileNotFoundError):
         resolver.resolve(str(tmp_path / "none")).prepare()
@@ -303,7 +303,7 @@ def test_scan(spark, corpus):
 def test_kept_json_keeps_other_keys(spark):
     df = spark.createDataFrame([('{"text": "A  ", "n": null, "k": {"b": [1, "ç"]}, "q\\"": 1.5}', "A"), ('{"text":"B","z":true}', "B")], "raw string, text string")
     got = [json.loads(r[0]) for r in df.select(sinks.kept_json(F.col("raw"), F.col("text"))).collect()]
-    assert got == [{"text": "A", "n": None, "k": {"b": [1, "ç"]}, 'q"': 1.5}, {"text": "B", "z": True}]
+    assert got == [{"text": "A", "n": None, "k": {"b": [1, "ç"]}, 'q"': 1.5}, {"text": "B", "z": True}] and list(got[0]) == ["text", "n", "k", 'q"']
 
 
 def test_inspection(spark, corpus):
@@ -328,7 +328,78 @@ def test_command_line(spark, corpus, tmp_path):
     cli.build_lm(spark, cfg, str(corpus))
     report = cli.filter_all(spark, cfg, str(corpus))
     assert report["total_lines"] == 12 and report["malformed_json"] == 2 and report["missing_text"] == 3 and report["kept"] + report["rejected"] == 7
-    assert (tmp_path / "out" / "reports" / "summary.json").exists() and spark.read.json(str(tmp_path / "out" / "rejected")).count() == report["rejected"] + 2
+    assert len(list((tmp_path / "out" / "kept").glob("shard-*.jsonl"))) == len(Manifest.load(cfg.output("manifest.json")).produced_shards) and (tmp_path / "out" / "reports" / "summary.json").exists() and spark.read.json(str(tmp_path / "out" / "rejected")).count() == report["rejected"] + 2
+
+
+def test_filter_builds_a_missing_model(spark, tmp_path):
+    from sieveline import cli
+
+    root = tmp_path / "in"
+    root.mkdir()
+    rows = [f"Bu köyde {w} bir gün geçti ve herkes bahçede oturdu, sonra yağmur başladı ama kimse gitmek istemedi." for w in ("güzel", "uzun", "sıcak", "soğuk")]
+    rows += [rows[0] + "  ", "The village was very old and everyone sat in the garden, then the rain started but nobody wanted to leave."]
+    (root / "a.jsonl").write_text("\n".join(json.dumps({"text": t, "n": i}) for i, t in enumerate(rows)) + "\n", encoding="utf-8")
+    cfg = Config(output_dir=str(tmp_path / "out"), lm_order=2, min_lm_tokens=2)
+    report = cli.filter_all(spark, cfg, str(root))
+    assert cli.load_lm(spark, cfg) is not None and report["kept"] == 4 and report["exact_dedup"]["duplicate_count"] == 1
+    seed = " ".join((tmp_path / "out" / "lm" / "seed_corpus" / p.name).read_text() for p in (tmp_path / "out" / "lm" / "seed_corpus").glob("part*"))
+    assert "village" not in seed and "bahçede" in seed
+    kept = [json.loads(x) for x in (tmp_path / "out" / "kept" / "shard-00000.jsonl").read_text().splitlines()]
+    assert [r["n"] for r in kept] == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("El alcalde dijo que la calle de la ciudad no se va a cerrar y que los vecinos de los barrios no tienen nada que temer.", "es"), ("The mayor said that the main street of the town is not to be closed and that they have to wait.", "en"),
+        ("Der Mann sagte, dass die Straße nicht für den Verkehr ist und dass sich das auch mit dem Bau von einer Halle nicht ändert.", "de"), ("Bu köyde bir gün daha geçti ve herkes çok uzun bir süre bahçede oturdu, ama sonra her şey değişti.", "tr"),
+    ],
+)
+def test_default_language(spark, text, want):
+    r = decide(spark.createDataFrame([(text, "s", 0)], "text string, _shard string, _line_num bigint"), CFG).first()
+    assert r["lang"]["detected_lang"] == want and (r["lang_decision"] == "accept") == (want == "tr")
+
+
+def test_prepare_command(spark, corpus, tmp_path):
+    from sieveline import cli
+
+    cfg = Config(output_dir=str(tmp_path / "out"))
+    report = cli.prepare_shards(spark, cfg, str(corpus), n=6)
+    shards = sorted(p.name for p in (tmp_path / "out" / "prepared").glob("shard-*.jsonl"))
+    assert shards == [f"shard-{k:05d}.jsonl" for k in range(6)] and report["written"] == 6
+    texts = [json.loads(x)["text"] for s in shards for x in (tmp_path / "out" / "prepared" / s).read_text().splitlines()]
+    assert sorted(texts) == sorted(t + " " + prepare.EOS for t in ("Bir", "5", "Son", "ikinci", "üçüncü", "BIR"))
+
+
+def test_oversized_shards_are_split_into_files(spark, tmp_path):
+    df = spark.createDataFrame([(f"satır {i}", 0 if i < 90 else 2) for i in range(100)], "line string, shard int")
+    done = writers.write_hash_shards(df, "line", "shard", 3, str(tmp_path / "s"), 300)
+    names = [d.rsplit("/", 1)[1] for d in done]
+    assert "shard-00001.jsonl" in names and "shard-00002.jsonl" in names and sum(n.startswith("shard-00000-") for n in names) >= 2
+    assert sum(len((tmp_path / "s" / n).read_text().splitlines()) for n in names) == 100
+
+
+def test_rolled_shards_are_written_in_order(spark, tmp_path):
+    df = spark.createDataFrame([(i, "Bu cümle bir kayıttır. " * 3) for i in range(50)], "id bigint, text string")
+    seen = []
+    rolled = sharding.rolled(df, "id", prepare.line_bytes(F.to_json(F.struct("id", "text"))), 1024)
+    done = writers.write_rolled(rolled, F.to_json(F.struct("id", "text")), "shard_index", ["id"], str(tmp_path / "r"), seen.append)
+    assert len(done) >= 2 and seen == done
+    ids = [json.loads(x)["id"] for d in done for x in (tmp_path / "r" / d.rsplit("/", 1)[1]).read_text().splitlines()]
+    assert ids == list(range(50))
+
+
+def test_upload(spark, tmp_path):
+    for n in ("a.jsonl", "b.jsonl", "c.txt"):
+        (tmp_path / n).write_text("x" * 600)
+    assert upload.collect_stats(spark, str(tmp_path)) == (2, 1200) and upload.collect_stats(spark, str(tmp_path), ("*.txt", "c*")) == (1, 600)
+    assert [upload.format_size(n) for n in (0, 600, 1200, 3 << 40)] == ["0 B", "600.00 B", "1.17 KB", "3.00 TB"] and 8 <= upload.default_workers() <= 64
+    sent = []
+    m = Manifest(str(tmp_path / "m" / "manifest.json"))
+    got = upload.upload(spark, str(tmp_path), sinks.resolve(output_repo="a/b", upload=sent.append), workers=2, manifest=m)
+    assert got["sent"] == 2 and len(sent) == 2 and len(Manifest.load(m.path).uploaded_shards) == 2
+    assert upload.upload(spark, str(tmp_path), sinks.resolve(output_repo="a/b", upload=sent.append), manifest=m)["sent"] == 0
+    assert upload.progress(5, 20, 10.0) == {"share": 0.25, "seconds_each": 2.0, "eta": 30.0}
 
 
 def test_incremental_runs_resume(spark, tmp_path):
@@ -340,7 +411,13 @@ def test_incremental_runs_resume(spark, tmp_path):
     (root / "b.jsonl").write_text('{"text": "aynı metin"}\n{"text": "yeni"}\n', encoding="utf-8")
     incremental.run(spark, str(root), cfg).awaitTermination()
     incremental.run(spark, str(root), cfg).awaitTermination()
-    rows = spark.read.parquet(cfg.output("decided")).collect()
+    m = Manifest(cfg.output("manifest.json"))
+    (root / "c.jsonl").write_text("", encoding="utf-8")
+    (root / "d.parquet").write_text("no stream reads this")
+    (root / "e.jsonl").write_text('{"text": "Yeni"}\n', encoding="utf-8")
+    incremental.run(spark, str(root), cfg, manifest=m).awaitTermination()
+    assert Manifest.load(m.path).processed_files == ["e.jsonl"]
+    rows = [r for r in spark.read.parquet(cfg.output("decided")).collect() if r["_shard"] != "e.jsonl"]
     assert len(rows) == 5 and sorted(r["text"] for r in rows if r["is_exact_dup"]) == ["Aynı metin", "aynı metin"]
 
 
