@@ -31,12 +31,17 @@ from .textvec import arrow, docs_in, rows_of
 #: Letters of other scripts, then the Latin letters that they imitate.
 CYRILLIC = ("аеорсухіјѕһԁԛԝӏАВЕКМНОРСТУХІЈЅԌԚԜӀ", "aeopcyxijshdqwlABEKMHOPCTYXIJSGQWI")
 GREEK = ("αονρικυχγϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "aovpikuxycjABEZHIKMNOPTYXCJ")
+ARMENIAN = ("օսհցոՕՍԼ", "ouhgnOUL")
+CHEROKEE = ("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᏀᏃᏚᏞᏟᏢᏦᏴᏙ", "DRTAJEWMHGZSLCPKBV")
+COPTIC = ("ⲞⲢⲤⲦⲬⲎⲒⲔⲘⲚⲟⲣⲥ", "OPCTXHIKMNopc")
+LISU = ("ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ")
+LATIN = ("ɑɡ", "ag")
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯︀-️﻿ﾠ\U000e0000-\U000e0fff"
 SPACES = "   -   　"
 
 _DROP = re.compile(f"[{INVISIBLE}]+")
 _SPACE = re.compile(f"[{SPACES}]")
-_PROTOTYPE = dict(zip(CYRILLIC[0] + GREEK[0], CYRILLIC[1] + GREEK[1], strict=True))
+_PROTOTYPE = {a: b for old, new in (CYRILLIC, GREEK, ARMENIAN, CHEROKEE, COPTIC, LISU, LATIN) for a, b in zip(old, new, strict=True)}
 _TWIN = re.compile("[" + "".join(_PROTOTYPE) + "]+")
 #: The letter to go back to: of two twins the Russian one, which the reversed order leaves in place.
 _BACK = {ord(b): a for a, b in reversed(list(zip(*CYRILLIC, strict=True)))}
@@ -111,7 +116,7 @@ def lookalikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text never meet each other, and what comes out of a join is a pair of the
     result.
     """
-    found = keys(df, id_col, text_col)
+    found = stored(keys(df, id_col, text_col), "keys")  # texts are read once
     several = found.groupBy("skeleton").agg(F.min("raw").alias("least"), F.max("raw").alias("most")).where("least <> most").select("skeleton")
     members = stored(found.join(several, "skeleton", "left_semi").distinct(), "lookalikes")
     forms = members.select("skeleton", "raw").distinct()
@@ -124,7 +129,7 @@ def lookalikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document of a look-alike class: its class, the least document id in it, and the class's sizes."""
-    found = keys(df, id_col, text_col)
+    found = stored(keys(df, id_col, text_col), "keys")
     sizes = (
         found.groupBy("skeleton", "raw").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
         .groupBy("skeleton").agg(F.count("*").alias("n_forms"), F.sum("n").alias("n_docs"), F.min("first").alias("class_id"))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.storage import bounded
 from .textvec import docs_in
 
 LANGUAGES = ("tr", "az", "en", "de", "fr", "es", "ru")
@@ -69,11 +70,3 @@ def sample(df: DataFrame, samples: DataFrame, id_col: str = "doc_id", text_col:
     for lang, text, _ in sorted(some.collect()):
         seen.setdefault(lang, []).append(text)
     return right, seen
-
-
-def bounded(df: DataFrame, limit: int, what: str) -> list:
-    """All rows of a table that must be small."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} {what}")
-    return rows

@@ -8,8 +8,11 @@ hold the passage; the match is then followed to its full length. A document
 never spans two shards and a suffix never leaves its document, so shards need
 no exchange.
 
-The evaluation texts are what is broadcast, in groups of bounded size: a set
-beyond ``GROUP_CHARS`` is searched in several passes.
+The evaluation texts become word hashes in files of the shared folder, a group
+of about ``GROUP_CHARS`` characters each, which Spark copies to every machine
+once. A task sorts the suffixes of a shard once and searches it for one group
+after the other, so documents are read once whatever the number of items, and
+neither the driver nor the plan holds any of them.
 
 Defined results: null, empty and blank texts on either side match nothing, nor
 do items of fewer words than ``MIN_WORDS``; items with equal texts are each
@@ -19,17 +22,19 @@ reported; rows that repeat an id give one row; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textvec import Block, arrow, blocks, docs_in, first_of_runs, rows_of
+from ..plans.storage import listed, stored
+from .textvec import Block, arrow, blocks, docs_in, first_of_runs, rows_of, signed
 
 MIN_WORDS = 10
-#: Characters of evaluation text that one pass broadcasts.
+#: Characters of evaluation text that a task holds at a time, as word hashes.
 GROUP_CHARS = 8_000_000
 #: Characters of a shard.
 SHARD_CHARS = 1 << 21
@@ -70,36 +75,54 @@ def _narrow(words: Callable[[np.ndarray], np.ndarray], lo: np.ndarray, hi: np.nd
 
 
 class Items:
-    """Words of the evaluation items, with a gap of no word after each item."""
+    """Words of some evaluation items, with a gap of no word after each item."""
 
-    def __init__(self, rows: list[tuple[int, str]]) -> None:
+    def __init__(self, rows: Iterable[tuple[int, np.ndarray]]) -> None:
         hashes, item, place, length = [], [], [], []
-        for block in blocks([t for _, t in rows]):
-            _, _, h, doc = block.words()
-            for i in range(block.n):
-                own = h[doc == i]
-                if len(own) >= MIN_WORDS:
-                    hashes += [own, np.zeros(1, np.uint64)]
-                    item.append(np.full(len(own) + 1, rows[block.first + i][0]))
-                    place.append(np.arange(len(own) + 1))
-                    length.append(len(own) - np.arange(len(own) + 1))
+        for number, own in rows:
+            if len(own) >= MIN_WORDS:
+                hashes += [own, np.zeros(1, np.uint64)]
+                item.append(np.full(len(own) + 1, number))
+                place.append(np.arange(len(own) + 1))
+                length.append(len(own) - np.arange(len(own) + 1))
         cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
         self.hash, self.item, self.place, self.left = cat(hashes, np.uint64), cat(item, np.int64), cat(place, np.int64), cat(length, np.int64)
 
 
-def search(block: Block, items: Items) -> dict[str, np.ndarray]:
+def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The word hashes of each item; items of too few words have no row."""
+    for batch in batches:
+        ids, texts = rows_of(batch)
+        for block in blocks(texts):
+            _, _, h, doc = block.words()
+            bounds = np.searchsorted(doc, np.arange(block.n + 1))
+            keep = np.flatnonzero(np.diff(bounds) >= MIN_WORDS)
+            yield arrow({
+                "item_id": ids[block.first + keep],
+                "words": pa.array([signed(h[bounds[i] : bounds[i + 1]]) for i in keep], pa.list_(pa.int64())),
+            })
+
+
+class Shard:
+    """A block of documents with the suffix array of its words."""
+
+    def __init__(self, block: Block) -> None:
+        self.block = block
+        self.s, _, h, self.doc = block.words()
+        self.known, rank = np.unique(h, return_inverse=True)
+        rank = rank.astype(np.int64) + 1
+        cut = np.flatnonzero(np.diff(self.doc)) + 1
+        self.at = np.insert(np.arange(len(h)), cut, -1)  # the gaps between documents
+        self.text = np.concatenate((np.insert(rank, cut, 0), np.zeros(DEPTH, np.int64)))
+        self.sa = suffix_array(self.text[:-DEPTH]) if len(h) else np.zeros(0, np.int64)
+
+
+def search(shard: Shard, items: Items) -> dict[str, np.ndarray]:
     """The longest match of each item in each document of a shard."""
-    s, _, h, doc = block.words()
+    known, text, sa, at, doc = shard.known, shard.text, shard.sa, shard.at, shard.doc
     empty = {k: np.zeros(0, np.int64) for k in ("doc", "item_id", "n_words", "item_word", "start")}
-    if not len(h) or not len(items.hash):
+    if not len(known) or not len(items.hash):
         return empty
-    known, rank = np.unique(h, return_inverse=True)
-    rank = rank.astype(np.int64) + 1
-    cut = np.flatnonzero(np.diff(doc)) + 1
-    at = np.insert(np.arange(len(h)), cut, -1)  # the gaps between documents
-    text = np.concatenate((np.insert(rank, cut, 0), np.zeros(DEPTH, np.int64)))
-    sa = suffix_array(text[:-DEPTH])
-
     found = np.searchsorted(known, items.hash)
     same = known[np.minimum(found, len(known) - 1)] == items.hash
     ids = np.where(same & (items.left > 0), found + 1, -1)
@@ -134,18 +157,28 @@ def search(block: Block, items: Items) -> dict[str, np.ndarray]:
     d, item = d[order], items.item[q][order]
     best = order[first_of_runs(d) | first_of_runs(item)]
     p = at[place[best]]
-    return {"doc": doc[p], "item_id": items.item[q[best]], "n_words": length[best], "item_word": items.place[q[best]], "start": s[p] - block.start[doc[p]]}
+    return {"doc": doc[p], "item_id": items.item[q[best]], "n_words": length[best], "item_word": items.place[q[best]], "start": shard.s[p] - shard.block.start[doc[p]]}
+
+
+def _held(name: str) -> Items:
+    """A group of items, from the copy of its file that Spark brought to this machine."""
+    table = pq.read_table(SparkFiles.get(name))
+    words = table.column("words").combine_chunks()
+    values, offsets = words.values.to_numpy(zero_copy_only=False).view(np.uint64), words.offsets.to_numpy(zero_copy_only=False)
+    return Items((number, values[offsets[i] : offsets[i + 1]]) for i, number in enumerate(table.column("item_id").to_pylist()))
 
 
-def _finder(rows: list[tuple[int, str]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _finder(names: list[str]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = Items(rows)
+        only = _held(names[0]) if len(names) == 1 else None
         for batch in batches:
             ids, texts = rows_of(batch)
             for block in blocks(texts, SHARD_CHARS):
-                hits = search(block, items)
-                doc = hits.pop("doc")
-                yield arrow({"doc_id": ids[block.first + doc]} | {k: v.astype(np.int64 if k in ("item_id", "start") else np.int32) for k, v in hits.items()})
+                shard = Shard(block)
+                for name in names:
+                    hits = search(shard, only or _held(name))
+                    doc = hits.pop("doc")
+                    yield arrow({"doc_id": ids[block.first + doc]} | {k: v.astype(np.int64 if k in ("item_id", "start") else np.int32) for k, v in hits.items()})
 
     return run
 
@@ -156,16 +189,18 @@ def matches(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     ``n_words`` is its length, ``item_word`` the item's word it begins at and
     ``start`` its first code point in the document.
     """
+    spark = df.sparkSession
     own = docs_in(items, item_col, item_text_col)
     chars = own.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts = max(1, -(-chars // GROUP_CHARS))
-    docs = docs_in(df, id_col, text_col)
-    found = []
-    for part in range(parts):
-        group = own if parts == 1 else own.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == part)
-        rows = [(r[0], r[1]) for r in group.dropDuplicates().orderBy("doc_id").collect() if not r[1].isspace()]
-        found.append(docs.mapInArrow(_finder(rows), FOUND))
-    return reduce(DataFrame.union, found).groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_words", "item_word", "start"), F.struct("n_words", -F.col("start"))).alias("m")).select("doc_id", "item_id", "m.*")
+    groups = own.mapInArrow(_words, "item_id bigint, words array<bigint>").distinct().repartition(max(1, -(-chars // GROUP_CHARS)), "item_id")
+    table = stored(groups, "items")
+    names = []
+    for name in listed(spark, table.stored_at):
+        if name.endswith(".parquet"):
+            spark.sparkContext.addFile(f"{table.stored_at}/{name}")
+            names.append(name)
+    found = docs_in(df, id_col, text_col).mapInArrow(_finder(names), FOUND)
+    return found.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("n_words", "item_word", "start"), F.struct("n_words", -F.col("start"))).alias("m")).select("doc_id", "item_id", "m.*")
 
 
 def leaked_items(found: DataFrame, items: DataFrame, item_col: str = "item_id") -> DataFrame:

@@ -10,11 +10,13 @@ that order until the size is reached. The random numbers are hashes of the
 seed and the id, so a mixture can be drawn again.
 
 Without a size, T is the largest at which no source that has documents needs
-more than its repeats. By default a text that stands k times weighs 1 / k.
+more than its repeats. With ``once_per_text`` a text that stands k times weighs
+1 / k; else all documents weigh the same.
 
 Sources, weight levels and rank bins are counted by partial aggregation, so a
-source that holds most rows is never one task: only the bin in which the size
-is reached is ordered row by row. Spellings of a source (case, outer blanks,
+source that holds most rows is never one task: the bin in which the size is
+reached is counted in bins of its own, and of those only the one in which it is
+reached, a millionth of the ranks, is ordered row by row. Spellings of a source (case, outer blanks,
 hyphens) are one; documents of other sources, and null, empty and blank texts,
 take no part; a source without documents is reported with a share of 0; rows
 that repeat an id are ranked alike; other columns of the input are ignored.
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.storage import stored
+from ..plans.storage import bounded, stored
 from .textvec import arrow, docs_in, rows_of
 
 #: Where the cluster keeps the rank file; a parameter, as is the pattern.
@@ -60,15 +63,16 @@ def _encoding(path: str):
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: A space between two other characters: a token may begin there but none goes on across it, whatever stands around.
+_BREAK = re.compile(r"(?<=\S) (?=\S)")
+
+
 def _count(encoding, text: str) -> int:
-    """Tokens of a text; a very long one is encoded in pieces cut at white space."""
-    if len(text) <= LONGEST:
-        return len(encoding.encode_ordinary(text))
+    """Tokens of a text; a very long one is encoded in pieces that end where a token must."""
     n = at = 0
     while at < len(text):
-        end = min(at + LONGEST, len(text))
-        cut = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end)) if end < len(text) else end
-        end = cut if cut > at else end
+        cut = _BREAK.search(text, at + LONGEST) if len(text) - at > LONGEST else None
+        end = cut.start() if cut else len(text)
         n += len(encoding.encode_ordinary(text[at:end]))
         at = end
     return n
@@ -88,10 +92,12 @@ def _sizes(path: str):
     return run
 
 
-def sizes(df: DataFrame, sources: list[str], id_col: str, text_col: str, source_col: str, ranks: str) -> DataFrame:
-    """(doc_id, source, n_tokens, weight) of the documents of the given sources; a text that stands k times weighs 1 / k."""
+def sizes(df: DataFrame, sources: list[str], id_col: str, text_col: str, source_col: str, ranks: str, once_per_text: bool = False) -> DataFrame:
+    """(doc_id, source, n_tokens, weight) of the documents of the given sources."""
     docs = docs_in(df, id_col, text_col, canonical(F.col(source_col).cast("string")).alias("source")).where(F.col("source").isin(sources))
     counted = stored(docs.mapInArrow(_sizes(ranks), "doc_id bigint, source string, n_tokens bigint, digest binary"), "sizes")
+    if not once_per_text:
+        return counted.select("doc_id", "source", "n_tokens", F.lit(1.0).alias("weight"))
     copies = counted.groupBy("source", "digest").agg(F.count("*").alias("k")).where("k > 1")
     return counted.join(copies, ["source", "digest"], "left").select("doc_id", "source", "n_tokens", (1 / F.coalesce("k", F.lit(1))).alias("weight"))
 
@@ -123,19 +129,17 @@ def _plan(rows: list, targets: dict[str, tuple[float, int]], size: float | None)
     return size, {s: _factor(levels[s], targets[s][0] * size, targets[s][1]) for s in tokens}
 
 
-def selection(df: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", tokens: float | None = None, seed: int = 1, ranks: str = RANKS) -> DataFrame:
+def selection(df: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", tokens: float | None = None, seed: int = 1, ranks: str = RANKS, once_per_text: bool = False) -> DataFrame:
     """(doc_id, source, n_tokens, copies) of the mixture of about ``tokens`` tokens."""
     spark = df.sparkSession
-    rows = targets.select(canonical(F.col("source").cast("string")), F.col("target_share").cast("double"), F.col("max_repeats").cast("int")).limit(TARGETS + 1).collect()
-    if len(rows) > TARGETS:
-        raise ValueError(f"more than {TARGETS} targets")
+    rows = targets.select(canonical(F.col("source").cast("string")), F.col("target_share").cast("double"), F.col("max_repeats").cast("int"))
     wanted: dict[str, tuple[float, int]] = {}
-    for name, share, repeats in rows:
+    for name, share, repeats in bounded(rows, TARGETS, "targets"):
         if name is not None and share is not None and repeats is not None and share > 0 and repeats > 0:
             old = wanted.get(name, (0.0, 0))
             wanted[name] = (old[0] + share, max(old[1], repeats))
     # weights are levels from here on, so that what the driver sees is bounded by sources and levels
-    sized = sizes(df, sorted(wanted), id_col, text_col, source_col, ranks).withColumn("level", F.round(F.log2(F.greatest("weight", F.lit(2.0**-40))) * LEVELS).cast("int"))
+    sized = sizes(df, sorted(wanted), id_col, text_col, source_col, ranks, once_per_text).withColumn("level", F.round(F.log2(F.greatest("weight", F.lit(2.0**-40))) * LEVELS).cast("int"))
     sized = stored(sized, "weights")
     total, factors = _plan(sized.groupBy("source", "level").agg(F.sum("n_tokens")).collect(), wanted, tokens)
     plan = F.broadcast(spark.createDataFrame([(s, wanted[s][0] * total, c, wanted[s][1]) for s, c in factors.items()], "source string, wanted double, factor double, repeats int"))
@@ -148,24 +152,28 @@ def selection(df: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_co
         # a fraction within rounding of a whole copy is the whole copy
         .withColumn("whole", F.floor(F.col("m") + 1e-9)).withColumn("p", F.greatest(F.col("m") - F.col("whole"), F.lit(0.0)))
         .withColumn("rank", F.when(F.col("p") > 1e-9, (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))))
-        .withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS).cast("int"))
+        .withColumn("fine", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS * BINS).cast("bigint")).withColumn("bin", F.floor(F.col("fine") / BINS))
     )
-    bins = drawn.groupBy("source", "bin").agg(F.sum("n_tokens").alias("n"), F.sum(F.col("whole") * F.col("n_tokens")).alias("certain"), F.first("wanted").alias("wanted"))
-    by_source = Window.partitionBy("source")
-    ordered = by_source.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = F.sum(F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)).over(ordered) - F.when(F.col("bin").isNotNull(), F.col("n")).otherwise(0)
-    bins = bins.select("source", "bin", before.alias("before"), (F.col("wanted") - F.sum("certain").over(by_source)).alias("rest")).where("bin is not null")
-    bins = F.broadcast(bins)  # at most sources * BINS rows
-    chosen = drawn.join(bins, ["source", "bin"], "left")
-    last = F.col("before") + F.col("n_tokens")
-    ordered = Window.partitionBy("source", "bin").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = bins.groupBy("source").agg(F.max(F.when(F.col("before") < F.col("rest"), F.col("bin"))).alias("edge"))
-    chosen = chosen.join(F.broadcast(edges), "source", "left")
-    inside = chosen.where("bin is null or edge is null or bin <> edge").withColumn("taken", F.coalesce((F.col("bin") < F.col("edge")).cast("int"), F.lit(0)))
+    by_source = drawn.groupBy("source").agg((F.first("wanted") - F.sum(F.col("whole") * F.col("n_tokens"))).alias("rest"))
+    ranked = drawn.where("rank is not null")
+
+    def edge(bins: DataFrame, column: str) -> DataFrame:
+        """Of each source the bin in which its size is reached, and the tokens before it; ``bins`` has at most BINS rows a source."""
+        order = Window.partitionBy("source").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.col("base") + F.coalesce(F.sum("n").over(order), F.lit(0))
+        rows = bins.select("source", column, "rest", before.alias("before")).where("before < rest")
+        return rows.groupBy("source").agg(F.max(column).alias("edge"), F.max_by("before", column).alias("base"), F.first("rest").alias("rest"))
+
+    coarse = edge(ranked.groupBy("source", "bin").agg(F.sum("n_tokens").alias("n"), F.lit(0).alias("base")).join(by_source, "source"), "bin")
+    inner = ranked.join(F.broadcast(coarse), "source").where("bin = edge").groupBy("source", "fine").agg(F.sum("n_tokens").alias("n"), F.first("base").alias("base"), F.first("rest").alias("rest"))
+    chosen = drawn.join(F.broadcast(edge(inner, "fine")), "source", "left")  # one row a source
+    at_edge = F.coalesce(F.col("fine") == F.col("edge"), F.lit(False))
+    inside = chosen.where(~at_edge).withColumn("taken", F.coalesce((F.col("fine") < F.col("edge")).cast("int"), F.lit(0)))
+    ordered = Window.partitionBy("source").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # a document is taken where at least half of it fits
-    edge = chosen.where("bin = edge").withColumn("taken", (F.col("before") + F.sum("n_tokens").over(ordered) - F.col("n_tokens") / 2 <= F.col("rest")).cast("int"))
+    last = chosen.where(at_edge).withColumn("taken", (F.col("base") + F.sum("n_tokens").over(ordered) - F.col("n_tokens") / 2 <= F.col("rest")).cast("int"))
     copies = (F.col("whole") + F.col("taken")).cast("int").alias("copies")
-    out = [x.select("doc_id", "source", "n_tokens", copies) for x in (inside, edge)]
+    out = [x.select("doc_id", "source", "n_tokens", copies) for x in (inside, last)]
     return out[0].union(out[1]).where("copies > 0")
 
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.storage import stored
+from ..plans.storage import bounded, stored
 from . import confusables, decoding, labels
 from .textvec import TABLE_END, TRIGRAM_BITS, Block, alnum_table, arrow, blocks, docs_in, trigrams
 
@@ -220,7 +220,7 @@ class Fixed:
     """The fixed tables on the driver; they go to the workers with the function."""
 
     def __init__(self, words: DataFrame, samples: DataFrame, documents: DataFrame | None = None) -> None:
-        self.words = [r[0] for r in labels.bounded(words.select("word").where("word is not null"), FIXED_ROWS, "common words")]
+        self.words = [r[0] for r in bounded(words.select("word").where("word is not null"), FIXED_ROWS, "common words")]
         self.right, seen = labels.sample(documents, samples) if documents is not None else labels.sample(samples.limit(0), samples, "sample_id")
         self.dictionaries = decoding.dictionaries(self.right, seen)
 

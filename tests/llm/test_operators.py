@@ -450,10 +450,21 @@ def test_mixture_reaches_its_shares(spark, real, tables):
         assert out[s]["share"] == pytest.approx(share, abs=0.03)
         assert out[s]["most_copies"] <= out[s]["max_repeats"]
     assert out["yok"]["n_docs"] == 0
-    assert pairs(chosen) == pairs(mixing.selection(df, wanted)) and chosen.groupBy("doc_id").count().where("count > 1").isEmpty()
+    chosen = mixing.selection(df, wanted, once_per_text=True)
+    assert pairs(chosen) == pairs(mixing.selection(df, wanted, once_per_text=True)) and chosen.groupBy("doc_id").count().where("count > 1").isEmpty()
     assert targets.count() and mixing.selection(df.limit(0), wanted).isEmpty()
 
 
+def test_pieces_of_a_long_text_have_its_tokens(monkeypatch):
+    rng = random.Random(4)
+    encoding = mixing._encoding(mixing.RANKS)
+    texts = ["".join(rng.choice(("ev", "yol'", "  ", " ", "\n", " \n", "\t", "123", "!?", "\u00a0", "ş", "😀", "'s", "\x1c")) for _ in range(400)) for _ in range(40)]
+    whole = [len(encoding.encode_ordinary(t)) for t in texts]
+    for longest in (3, 50):
+        monkeypatch.setattr(mixing, "LONGEST", longest)
+        assert [mixing._count(encoding, t) for t in texts] == whole
+
+
 def test_factor_meets_the_wanted_tokens():
     levels = [(1.0, 100), (0.5, 60), (0.25, 40)]
     for wanted in (30, 90, 150, 320):
