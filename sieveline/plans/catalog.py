@@ -7,6 +7,7 @@ or is too slow for it, is left out; those are tested against brute force.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,9 @@ def predictions() -> Column:
     return language.from_column(F.col("lang_label"))
 
 
-def decided(spark: SparkSession, sf: str, cfg: Config = CFG) -> DataFrame:
+def decided(spark: SparkSession, sf: str, cfg: Config = CFG, model: lm.Model | None = None) -> DataFrame:
     rows = documents(spark, sf, "source", F.col("lang").alias("lang_label"))
-    return decide(rows.withColumnRenamed("source", "_shard"), cfg, predictions(), order=("doc_id",), row_id="doc_id")
+    return decide(rows.withColumnRenamed("source", "_shard"), cfg, predictions(), model, order=("doc_id",), row_id="doc_id")
 
 
 def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -256,6 +257,26 @@ def lm_score(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score(documents(spark, sf).where("text is not null"), model, "text", "doc_id", CFG).select("doc_id", "num_tokens", "perplexity", "oov_ratio")
 
 
+def lm_score_bigram(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = replace(CFG, lm_order=2)
+    model = lm.train(_seed(spark, sf), cfg)
+    return lm.score(documents(spark, sf).where("text is not null"), model, "text", "doc_id", cfg).select("doc_id", "num_tokens", "perplexity", "oov_ratio")
+
+
+def decision_full(spark: SparkSession, sf: str) -> DataFrame:
+    """The decision with a language model trained on the seed corpus and with near deduplication."""
+    cfg = replace(CFG, enable_near_dedup=True, lm_order=3)
+    names = F.array_join(F.transform("reasons", label), ",")
+    rows = decided(spark, sf, cfg, lm.train(_seed(spark, sf), cfg)).where("status = 'ok'")
+    return rows.select("doc_id", "decision", names.alias("reasons"), "quality_score", "perplexity", "is_near_dup")
+
+
+def parquet_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Through discovery and the Parquet reader, as the command line reads it."""
+    paths = [r[0] for r in files.discover(spark, sf).where("path like '%/documents.parquet%'").select("path").collect()]
+    return files.read_parquet(spark, paths).select("doc_id", "status", F.md5(F.coalesce("text", F.lit(""))).alias("text"))
+
+
 def lm_verdict(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "decisions").select("decision_id", F.col("kenlm_perplexity").alias("p"), F.col("features.word_count").alias("n"), F.col("features.unique_token_ratio").alias("o"))
     said = lm.verdict(F.col("p") * 5, F.col("n"), F.coalesce(F.col("o"), F.lit(0.0)), CFG)
@@ -337,7 +358,7 @@ def queries() -> dict[str, Query]:
         normalize_text, text_features, reason_histogram, language_decision, language_histogram, function_word_vote, default_language, exact_dedup, exact_dedup_stats, shingle_counts, near_dedup, near_dedup_stats,
         quality_score, decision, decision_summary, shard_report, shard_reasons, rejection_top20, run_language_histogram, perplexity_percentiles, length_percentiles, perplexity_csv,
         bernoulli_sample, audit_sample, shard_sample, reject_records, eos_append, hash_shards, shard_sizes, oversize_split, shard_count, rolled_shards, balanced_shards, lm_tokens, seed_corpus,
-        seed_stats, sampled_shards, ngram_counts, lm_discounts, lm_score, lm_verdict, inspect_summary, parse_lines, malformed_records, prepare_counters, key_frequencies, shard_names,
+        seed_stats, sampled_shards, ngram_counts, lm_discounts, lm_score, lm_score_bigram, lm_verdict, decision_full, parquet_scan, inspect_summary, parse_lines, malformed_records, prepare_counters, key_frequencies, shard_names,
         pending_files, manifest_errors, source_types, word_frequency, token_candidates, extended_vocabulary,
     )
     return {f.__name__: f for f in named} | {"heuristic_reasons": _reasons(CFG), "heuristic_reasons_strict": _reasons(STRICT)}
@@ -481,6 +502,29 @@ def _percentile(table_: str, value: str, shares: tuple[float, ...]) -> str:
     )
 
 
+def _discount(counts: str, name: str) -> str:
+    """Discounts of modified Kneser-Ney from the counts of counts."""
+    n = ", ".join(f"count(*) FILTER (WHERE n = {k}) AS n{k}" for k in (1, 2, 3, 4))
+    y = "(n1 / (n1 + 2 * n2))"
+    d = [f"{k} - {k + 1} * {y} * n{k + 1} / nullif(n{k}, 0)" for k in (1, 2, 3)]
+    good = " AND ".join(f"coalesce(({x}) BETWEEN 0 AND {k}, false)" for k, x in zip((1, 2, 3), d, strict=True))
+    cases = ", ".join(f"CASE WHEN {good} THEN {x} ELSE {f} END AS d{k}" for k, x, f in zip((1, 2, 3), d, lm.FALLBACK, strict=True))
+    return f"{name} AS (SELECT {cases} FROM (SELECT {n} FROM {counts}))"
+
+
+def _bigram_model() -> str:
+    """Interpolated modified Kneser-Ney of order two, from the bigrams ``b`` and their counts ``bc``."""
+    cut = "CASE WHEN n = 1 THEN d1 WHEN n = 2 THEN d2 ELSE d3 END"
+    return (
+        "c2 AS (SELECT split_part(gram, ' ', 1) AS a, split_part(gram, ' ', 2) AS b, n FROM bc), c1 AS (SELECT b AS word, count(*) AS n FROM c2 GROUP BY b), voc AS (SELECT word FROM c1), "
+        f"{_discount('c2', 'e2')}, {_discount('c1', 'e1')}, "
+        f"s1 AS (SELECT sum(n) AS total, sum({cut}) / sum(n) AS gamma, count(*) + 1 AS size FROM c1, e1), "
+        f"p1 AS (SELECT word, (n - {cut}) / total + gamma / size AS p FROM c1, e1, s1 UNION ALL SELECT '<unk>', gamma / size FROM s1), "
+        f"g2 AS (SELECT a, sum(n) AS total, sum({cut}) / sum(n) AS gamma FROM c2, e2 GROUP BY a), "
+        f"p2 AS (SELECT c2.a, c2.b, (n - {cut}) / total + gamma * p1.p AS p FROM c2 JOIN g2 USING (a) JOIN p1 ON p1.word = c2.b, e2)"
+    )
+
+
 _COUNTERS = (
     "count(*) AS total_lines, 0::bigint AS malformed_json, count(*) FILTER (WHERE text IS NULL) AS missing_text, count(*) FILTER (WHERE decision = 'keep') AS kept, "
     "count(*) FILTER (WHERE decision = 'reject') AS rejected, count(*) FILTER (WHERE is_exact_dup) AS exact_duplicates, 0::bigint AS near_duplicates"
@@ -568,6 +612,16 @@ def oracle_sql() -> dict[str, str]:
         "sampled_shards": "WITH s AS (SELECT DISTINCT file_name AS shard FROM shard_manifest), r AS (SELECT shard, row_number() OVER (ORDER BY shard) - 1 AS r, count(*) OVER () AS n FROM s) SELECT shard FROM r WHERE n <= 3 OR (r % greatest(n // 3, 1) = 0 AND r // greatest(n // 3, 1) < 3)",
         "ngram_counts": f"WITH {bigrams} SELECT gram, n FROM bc WHERE n > 1",
         "lm_discounts": f"WITH {bigrams}, k AS (SELECT count(*) FILTER (WHERE n = 1) AS n1, count(*) FILTER (WHERE n = 2) AS n2, count(*) FILTER (WHERE n = 3) AS n3, count(*) FILTER (WHERE n = 4) AS n4 FROM bc), y AS (SELECT *, n1 / (n1 + 2 * n2) AS y FROM k) SELECT {_half('1 - 2 * y * n2 / n1', 6)} AS d1, {_half('2 - 3 * y * n3 / n2', 6)} AS d2, {_half('3 - 4 * y * n4 / n3', 6)} AS d3 FROM y",
+        "lm_score_bigram": f"WITH {bigrams}, {_bigram_model()}, "
+        f"d AS (SELECT doc_id, {own} AS w FROM documents WHERE text IS NOT NULL), "
+        "o AS (SELECT doc_id, len(w) AS n, list_concat(CASE WHEN len(w) > 500 THEN list_concat(list_concat(w[1:166], w[((len(w) - 166) // 2 + 1):((len(w) - 166) // 2 + 166)]), w[(len(w) - 165):len(w)]) ELSE w END, ['</s>']) AS x FROM d WHERE len(w) >= 10), "
+        "k AS (SELECT doc_id, i, x[i] AS word FROM (SELECT doc_id, x, unnest(generate_series(1, len(x))) AS i FROM o)), "
+        "m AS (SELECT doc_id, i, CASE WHEN u.word IS NULL THEN '<unk>' ELSE k.word END AS word, (u.word IS NULL)::int AS oov FROM k LEFT JOIN (SELECT DISTINCT word FROM voc) u ON u.word = k.word), "
+        "q AS (SELECT *, coalesce(lag(word) OVER (PARTITION BY doc_id ORDER BY i), '<s>') AS before FROM m), "
+        "z AS (SELECT q.doc_id, q.oov, CASE WHEN p2.p IS NOT NULL THEN log10(p2.p) ELSE log10(p1.p) + coalesce(log10(g2.gamma), 0) END AS lp FROM q LEFT JOIN p2 ON p2.a = q.before AND p2.b = q.word JOIN p1 ON p1.word = q.word LEFT JOIN g2 ON g2.a = q.before), "
+        "t AS (SELECT doc_id, sum(lp) AS lp, count(*) - 1 AS n, sum(oov) AS oov FROM z GROUP BY doc_id) "
+        f"SELECT d.doc_id, len(d.w)::bigint AS num_tokens, coalesce({_half('pow(10.0, -t.lp / t.n)', 2)}, -1.0) AS perplexity, coalesce({_half('t.oov / t.n', 4)}, 0.0) AS oov_ratio FROM d LEFT JOIN t USING (doc_id)",
+        "parquet_scan": "SELECT doc_id, CASE WHEN text IS NULL THEN 'missing_text' ELSE 'ok' END AS status, md5(coalesce(text, '')) AS text FROM documents",
         "lm_verdict": "SELECT decision_id, CASE WHEN p IS NULL OR p < 0 THEN 'keep' WHEN p > lim THEN 'high_kenlm_perplexity' WHEN o > 0.5 AND p > lim * 0.5 THEN 'high_oov_and_perplexity' ELSE 'keep' END AS verdict FROM (SELECT decision_id, kenlm_perplexity * 5 AS p, CASE WHEN features.word_count < 30 THEN 4500.0 ELSE 3000.0 END AS lim, coalesce(features.unique_token_ratio, 0) AS o FROM decisions)",
         "inspect_summary": f"WITH h AS (SELECT coalesce(source, 'none') AS file, coalesce(text, '') AS t FROM documents QUALIFY row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) <= 100) SELECT count(DISTINCT file) AS n_files, count(*) AS n_records, min(length(t))::int AS min_length, max(length(t))::int AS max_length, floor(sum(length(t)) / count(*))::bigint AS avg_length, {_half(f'sum({_count(TURKISH.special_chars)}) / greatest(sum(length(t)), 1)', 6)} AS special_char_ratio, count(*) FILTER (WHERE contains(lower(t), '<html') OR contains(lower(t), '<div')) AS html_records, count(*) FILTER (WHERE contains(t, 'http://') OR contains(t, 'https://')) AS url_records FROM h",
         "parse_lines": f"SELECT _shard, _line_num, status, md5(coalesce(text, '')) AS text FROM ({parsed})",
