@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import blocks, confusables, decoding, language, leakage, mixing, repetition, similarity, spans, statistics
+from .oracles import oracle_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,5 +129,4 @@ def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+__all__ = ["oracle_sql", "queries"]
