@@ -110,15 +110,18 @@ def top_count(items: Column) -> Column:
     return F.aggregate(F.sort_array(items), start, step, lambda acc: acc["best"])
 
 
-def features(text: Column, profile: LanguageProfile = TURKISH) -> Column:
-    """The 18 features of a normalized text; zeros for an empty one."""
+def features(text: Column, profile: LanguageProfile = TURKISH, names: Sequence[str] = FEATURES) -> Column:
+    """The features named, all 18 by default, of a normalized text; zeros for an empty one."""
     text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.transform(F.split(text, "\n"), strip), lambda x: x != "")
-    parts = F.struct(text.alias("t"), words(F.lower(text)).alias("w"), lines.alias("l"), count_of(text, SPACE).alias("s"))
-    return let(parts, lambda p: _features(p["t"], p["w"], p["l"], p["s"], profile))
+    # lines and white space are for some features only
+    lines = lines if "repeated_line_ratio" in names else F.array().cast("array<string>")
+    spaces = count_of(text, SPACE) if {"whitespace_ratio", "avg_word_length"} & set(names) else F.lit(0)
+    parts = F.struct(text.alias("t"), words(F.lower(text)).alias("w"), lines.alias("l"), spaces.alias("s"))
+    return let(parts, lambda p: _features(p["t"], p["w"], p["l"], p["s"], profile, names))
 
 
-def _features(text: Column, own: Column, lines: Column, spaces: Column, profile: LanguageProfile) -> Column:
+def _features(text: Column, own: Column, lines: Column, spaces: Column, profile: LanguageProfile, names: Sequence[str]) -> Column:
     chars, n_words = F.length(text), F.size(own)
     per_char = lambda n: round_half_up(n / F.greatest(chars, F.lit(1)), 4)
     per_word = lambda n, d=4: round_half_up(n / F.greatest(n_words, F.lit(1)), d)
@@ -144,7 +147,7 @@ def _features(text: Column, own: Column, lines: Column, spaces: Column, profile:
         "avg_word_length": per_word(chars - spaces, 2),
         "stopword_coverage": per_word(F.size(F.filter(own, lambda w: w.isin(*profile.stopwords)))),
     }
-    return F.struct(*(values[k].alias(k) for k in FEATURES))
+    return F.struct(*(values[k].alias(k) for k in names))
 
 
 def record_text(value: Column) -> Column:

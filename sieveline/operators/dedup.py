@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.text import strip
-from ..plans.storage import stored
+from ..plans.storage import discarded, stored
 
 
 def exact_key(text: Column) -> Column:
@@ -95,29 +96,35 @@ def band_keys(df: DataFrame, id_cols: Sequence[str], text_col: str, cfg: Config)
 def mark_near(df: DataFrame, text_col: str, order: str, cfg: Config) -> DataFrame:
     """Adds ``is_near_dup`` by greedy LSH: a row is one if an earlier row that is none shares a bucket with it.
 
-    ``order`` is a unique column. Rows settle in rounds: one whose bucket has a
-    kept earlier row is dropped; one that comes first among the unsettled in
-    all its buckets is kept. A round looks at each bucket's least kept and least
-    unsettled row only, so no pair of a bucket is ever written out, and a
-    bucket that most rows share aggregates before its shuffle.
+    ``order`` is a unique column. Rows settle in rounds: one that comes first
+    among the open rows of all its buckets is kept, and with it all other rows
+    of those buckets are settled as duplicates, so what is left never meets a
+    settled row again. A round looks at each bucket's least row only, writes
+    only the rows that are still open, and no pair of a bucket is ever written
+    out; a bucket that most rows share aggregates before its shuffle.
     """
+    bucket = ["band", "bucket"]
     buckets = stored(band_keys(df, [order], text_col, cfg), "buckets")
     # a row alone in all its buckets is kept; only shared buckets take part in the rounds
-    shared = buckets.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").select("band", "bucket")
-    buckets = stored(buckets.join(shared, ["band", "bucket"], "left_semi"), "shared")
-    state = buckets.select(order).distinct().withColumn("kept", F.lit(None).cast("boolean"))
-    while True:
-        state = stored(state, "near")
-        if state.where("kept is null").isEmpty():
-            break
-        rows = buckets.join(state, order).where("kept is null or kept")
-        least = rows.groupBy("band", "bucket").agg(F.min(F.when(F.col("kept"), F.col(order))).alias("k"), F.min(F.when(F.col("kept").isNull(), F.col(order))).alias("u"))
-        seen = (
-            rows.where("kept is null").join(least, ["band", "bucket"]).groupBy(order)
-            .agg(F.max(F.coalesce(F.col("k") < F.col(order), F.lit(False))).alias("hit"), F.min(F.col("u") >= F.col(order)).alias("first"))
-        )
-        state = state.join(seen, order, "left").select(order, F.coalesce("kept", F.when(F.col("hit"), F.lit(False)).when(F.col("first"), F.lit(True))).alias("kept"))
-    return df.join(state, order, "left").withColumn("is_near_dup", F.coalesce(~F.col("kept"), F.lit(False))).drop("kept")
+    shared = buckets.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").select(*bucket)
+    live = stored(buckets.join(shared, bucket, "left_semi"), "open")
+    discarded(buckets)
+    dups = []
+    while not live.isEmpty():
+        least = live.groupBy(*bucket).agg(F.min(order).alias("u"))
+        firsts = live.join(least, bucket).groupBy(order).agg(F.min(F.col("u") == F.col(order)).alias("first")).where("first").select(order)
+        done = live.join(firsts, order, "left_semi").select(*bucket).distinct()
+        settled = live.join(done, bucket, "left_semi").groupBy(order).agg(F.lit(True).alias("settled")).join(firsts.withColumn("kept", F.lit(True)), order, "left")
+        settled = stored(settled.select(order, F.coalesce("kept", F.lit(False)).alias("kept")), "settled")
+        dups.append(settled.where("not kept").select(order))
+        rest = stored(live.join(settled, order, "left_anti"), "open")
+        discarded(live)
+        live = rest
+    discarded(live)
+    if not dups:
+        return df.withColumn("is_near_dup", F.lit(False))
+    found = reduce(DataFrame.union, dups).withColumn("__dup", F.lit(True))
+    return df.join(found, order, "left").withColumn("is_near_dup", F.coalesce("__dup", F.lit(False))).drop("__dup")
 
 
 def near_stats(marked: DataFrame) -> DataFrame:

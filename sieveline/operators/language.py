@@ -20,6 +20,8 @@ from ..functions.text import words
 WINDOW = 5_000
 #: Share of the function words below which a language is not named.
 LEAST_SHARE = 0.1
+#: Features that the decision reads beside the predictions.
+SIGNALS = ("turkish_char_ratio", "stopword_coverage")
 PREDICTION = "array<struct<lang:string,score:double>>"
 
 

@@ -19,7 +19,7 @@ from ..operators import dedup, inspection, language, lm, prepare, reports, shard
 from ..operators.decision import label
 from ..sources import files, resolver, sinks
 from ..streaming.incremental import pending
-from .pipeline import decide, featured
+from .pipeline import decide, featured, signalled
 from .storage import bounded, spread
 
 CFG = Config()
@@ -66,7 +66,7 @@ def reason_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def language_decision(spark: SparkSession, sf: str) -> DataFrame:
-    rows = featured(documents(spark, sf, F.col("lang").alias("lang_label")).where("text is not null"), CFG)
+    rows = signalled(documents(spark, sf, F.col("lang").alias("lang_label")).where("text is not null"), CFG)
     rows = rows.withColumn("l", language.info(predictions(), F.col("features"), "provider"))
     return rows.select("doc_id", "l.detected_lang", "l.confidence", language.decision(F.col("l"), CFG).alias("lang_decision"))
 
@@ -86,7 +86,7 @@ def function_word_vote(spark: SparkSession, sf: str) -> DataFrame:
 
 def default_language(spark: SparkSession, sf: str) -> DataFrame:
     """The decision where no provider names a language: a vote of function words."""
-    rows = featured(documents(spark, sf).where("text is not null"), CFG)
+    rows = signalled(documents(spark, sf).where("text is not null"), CFG)
     said = language.by_function_words(F.col("text"), language.default_lists(CFG.profile))
     rows = rows.withColumn("l", tx.once(language.info(said, F.col("features"), "function_words")))
     return rows.select("doc_id", "l.detected_lang", tx.round_half_up(F.col("l.confidence"), 6).alias("confidence"), language.decision(F.col("l"), CFG).alias("lang_decision"))

@@ -18,6 +18,12 @@ def featured(df: DataFrame, cfg: Config, text: str = "text") -> DataFrame:
     return out.withColumn("heuristic_reasons", once(heuristics.reasons(F.col(text), F.col("features"), cfg)))
 
 
+def signalled(df: DataFrame, cfg: Config, text: str = "text") -> DataFrame:
+    """The text normalized, and of its features those that the language decision reads."""
+    out = df.withColumn(text, once(normalize(F.col(text).cast("string"))))
+    return out.withColumn("features", once(features(F.col(text), cfg.profile, language.SIGNALS)))
+
+
 def decide(df: DataFrame, cfg: Config = Config(), predictions: Column | None = None, lm: Model | None = None, order: tuple[str, ...] = ("_shard", "_line_num"), marked_exact: bool = False, row_id: str | None = None) -> DataFrame:
     """Adds features, language, perplexity, duplicate flags, quality score, decision and reasons.
 
