@@ -1,25 +1,36 @@
 """N-gram language model: seed corpus, modified Kneser-Ney training, scoring, verdict.
 
 A model is three DataFrames: ``grams(n, gram, logp)``, ``backoffs(n, gram,
-backoff)`` and ``vocabulary(word)``. Training is a chain of aggregations and
-scoring a join with each, so neither is bound by a worker's memory.
+backoff)`` and ``vocabulary(word)``. Training is a chain of aggregations;
+scoring reads a model of bounded size from memory and joins a larger one, so
+neither is bound by a worker's memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.text import SPACE, round_half_up, words
-from ..plans.storage import stored
+from ..plans.storage import listed, stored
+
+try:
+    import xxhash
+except ImportError:  # scores are joined then
+    xxhash = None
 
 BOS, EOS, UNK = "<s>", "</s>", "<unk>"
 #: Discounts where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
+#: N-grams of a model that tasks hold in memory, at 24 bytes each.
+CARRIED = 8_000_000
 
 
 def tokens(text: Column) -> Column:
@@ -148,16 +159,37 @@ def _all(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def score(df: DataFrame, model: Model, text_col: str, id_col: str, cfg: Config) -> DataFrame:
+def score(df: DataFrame, model: Model, text_col: str, id_col: str, cfg: Config, carried: int = CARRIED) -> DataFrame:
     """(id, num_tokens, log10, perplexity, oov_ratio) of each text.
 
     The longest known n-gram that ends at a token gives its probability, and
     the longer contexts that were tried before it their backoffs. Texts under
     ``min_lm_tokens`` tokens have a perplexity of -1.
+
+    A model of at most ``carried`` n-grams, which the bound on its seed corpus
+    makes the usual case, goes to every machine as a file and texts stay where
+    they are; a larger one is joined with the texts' n-grams. Both give the
+    same scores.
     """
     own = df.select(F.col(id_col).alias("id"), tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("all"))
     own = own.select("id", F.size("all").alias("num_tokens"), window(F.col("all"), cfg).alias("own"))
+    small = xxhash is not None and model.grams.count() + model.backoffs.count() <= carried
     long = own.where(F.col("num_tokens") >= cfg.min_lm_tokens)
+    if small:
+        kind = dict(own.dtypes)["id"]
+        scored = own.select("id", "num_tokens", F.when(F.col("num_tokens") >= cfg.min_lm_tokens, F.col("own")).alias("own"))
+        scored = scored.mapInArrow(_scorer(_files(model), model.order), f"id {kind}, num_tokens int, n int, oov int, log10 double")
+    else:
+        scored = own.select("id", "num_tokens").join(_joined(long, model), "id", "left")
+    ppl = F.pow(F.lit(10.0), -F.col("log10") / F.col("n"))
+    return scored.select(
+        F.col("id").alias(id_col), F.col("num_tokens").cast("bigint").alias("num_tokens"), "log10",
+        F.coalesce(round_half_up(ppl, 2), F.lit(-1.0)).alias("perplexity"), F.coalesce(round_half_up(F.col("oov") / F.col("n"), 4), F.lit(0.0)).alias("oov_ratio"),
+    )
+
+
+def _joined(long: DataFrame, model: Model) -> DataFrame:
+    """(id, n, oov, log10) by joins with the model."""
     placed = long.select("id", F.posexplode(F.concat("own", F.array(F.lit(EOS)))).alias("pos", "word"))
     known = model.vocabulary.select("word", F.lit(True).alias("known"))
     placed = placed.join(known, "word", "left").select("id", "pos", F.when(F.col("known"), F.col("word")).otherwise(UNK).alias("word"), ((F.col("known").isNull()) & (F.col("word") != EOS)).cast("int").alias("oov"))
@@ -175,12 +207,74 @@ def score(df: DataFrame, model: Model, text_col: str, id_col: str, cfg: Config)
         lambda a, r: a + F.when(r["n"] == F.col("m"), F.coalesce(r["logp"], F.lit(0.0))).when(r["n"] > F.col("m"), r["backoff"]).otherwise(0.0),
     )
     scores = per.withColumn("m", longest).select("id", logp.alias("logp")).groupBy("id").agg(F.sum("logp").alias("log10"))
-    counted = seen.select("id", "oov", (F.col("n") - 1).alias("n")).join(scores, "id")
-    full = counted.select("id", "log10", F.pow(F.lit(10.0), -F.col("log10") / F.col("n")).alias("ppl"), (F.col("oov") / F.col("n")).alias("oov_ratio"))
-    return own.select("id", "num_tokens").join(full, "id", "left").select(
-        F.col("id").alias(id_col), F.col("num_tokens").cast("bigint").alias("num_tokens"), "log10",
-        F.coalesce(round_half_up(F.col("ppl"), 2), F.lit(-1.0)).alias("perplexity"), F.coalesce(round_half_up(F.col("oov_ratio"), 4), F.lit(0.0)).alias("oov_ratio"),
-    )
+    return seen.select("id", "oov", (F.col("n") - 1).alias("n")).join(scores, "id")
+
+
+def _files(model: Model) -> list[str]:
+    """Names of files with the model's n-grams by hash, which Spark copies to every machine."""
+    spark = model.grams.sparkSession
+    both = model.grams.select("gram", "logp").join(model.backoffs.select("gram", "backoff"), "gram", "full")
+    table = stored(both.select(F.xxhash64("gram").alias("key"), "logp", "backoff").coalesce(8), "lm")
+    names = [n for n in listed(spark, table.stored_at) if n.endswith(".parquet")]
+    for name in names:
+        spark.sparkContext.addFile(f"{table.stored_at}/{name}")
+    return names
+
+
+class _Table:
+    def __init__(self, names: Sequence[str]) -> None:
+        import pyarrow.parquet as pq
+
+        parts = [pq.read_table(SparkFiles.get(n)) for n in names]
+        column = lambda k: np.concatenate([p.column(k).to_numpy() for p in parts]) if parts else np.zeros(0)
+        key = column("key").astype(np.int64)
+        order = np.argsort(key)
+        self.key = key[order]
+        self.logp, self.backoff = (column(k).astype(float)[order] for k in ("logp", "backoff"))
+
+    def find(self, grams: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(log probability or NaN, backoff or 0) of each n-gram."""
+        key = np.fromiter((xxhash.xxh64_intdigest(g, 42) for g in grams), np.uint64, len(grams)).view(np.int64)
+        at = np.minimum(np.searchsorted(self.key, key), max(len(self.key) - 1, 0))
+        held = self.key[at] == key if len(self.key) else np.zeros(len(key), bool)
+        logp, backoff = np.full(len(key), np.nan), np.zeros(len(key))
+        logp[held], backoff[held] = self.logp[at[held]], np.nan_to_num(self.backoff[at[held]])
+        return logp, backoff
+
+
+def _log10(words: list[str], table: _Table, order: int) -> tuple[int, float]:
+    """Words that the model does not know, and the log probability of the text."""
+    logp, _ = table.find(words)
+    known = ~np.isnan(logp) & np.array([w != UNK for w in words], bool)
+    own = [BOS, *(w if k else UNK for w, k in zip(words, known.tolist(), strict=True)), EOS]
+    n = len(own)
+    total = np.zeros(n - 1)
+    open_ = np.ones(n - 1, bool)
+    held = {}
+    for size in range(1, min(order, n) + 1):
+        held[size] = table.find([" ".join(own[i - size + 1 : i + 1]) for i in range(size - 1, n)])
+    for size in range(min(order, n), 0, -1):
+        end = np.arange(max(size - 1, 1), n)  # places of the last word, from the second on
+        logp = held[size][0][end - size + 1]
+        take = open_[end - 1] & ~np.isnan(logp)
+        total[end[take] - 1] += logp[take]
+        rest = open_[end - 1] & np.isnan(logp)
+        if size > 1:
+            total[end[rest] - 1] += held[size - 1][1][end[rest] - size + 1]
+        open_[end[take] - 1] = False
+    return int((~known & np.array([w != EOS for w in words], bool)).sum()), float(total.sum())
+
+
+def _scorer(names: list[str], order: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Table(names)
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            scores = [None if t is None else (len(t), *_log10(t, table, order)) for t in texts]
+            column = lambda i, kind: pa.array([None if x is None else x[i] for x in scores], kind)  # noqa: B023,E731
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column(0, pa.int32()), column(1, pa.int32()), column(2, pa.float64())], ["id", "num_tokens", "n", "oov", "log10"])
+
+    return run
 
 
 def verdict(perplexity: Column, num_tokens: Column, oov: Column, cfg: Config) -> Column:

@@ -198,8 +198,11 @@ def test_lm_probabilities_sum_to_one_and_scores(spark):
     model = lm.train(corpus, cfg)
     unigrams = {r["gram"]: 10 ** r["logp"] for r in model.grams.where("n = 1").collect()}
     assert sum(unigrams.values()) == pytest.approx(1.0)
-    df = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "j i h q z x y a b d"), (3, "foo bar baz qux"), (4, "a b"), (5, None)], "id bigint, text string")
+    df = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "j i h q z x y a b d"), (3, "foo bar baz qux"), (4, "a b"), (5, None), (6, "<unk> a </s> <s> b c"), (7, "a b c " * 300)], "id bigint, text string")
     got = {r["id"]: r for r in lm.score(df, model, "text", "id", cfg).collect()}
+    joined = {r["id"]: r for r in lm.score(df, model, "text", "id", cfg, carried=0).collect()}
+    for i, r in got.items():
+        assert {k: pytest.approx(v) if isinstance(v, float) else v for k, v in r.asDict().items()} == joined[i].asDict(), i
     assert got[1]["perplexity"] < got[2]["perplexity"] < got[3]["perplexity"]
     assert got[3]["oov_ratio"] == 0.8 or got[3]["oov_ratio"] == 1.0
     assert got[4]["perplexity"] == -1 and got[5]["perplexity"] == -1 and got[4]["num_tokens"] == 2
