@@ -15,6 +15,10 @@ from ..functions.text import strip
 from ..plans.storage import discarded, stored
 
 
+#: Shingles that are hashed by all permutations at a time.
+STEP = 256
+
+
 def exact_key(text: Column) -> Column:
     return F.lower(strip(text))
 
@@ -62,9 +66,9 @@ def band_keys(df: DataFrame, id_cols: Sequence[str], text_col: str, cfg: Config)
     """A row for each band of each text's MinHash signature."""
     rng = np.random.default_rng(cfg.seed)
     n = cfg.bands * cfg.rows
-    # multiplication by a random odd number permutes the 64-bit hashes, and its order is that of the high bits
-    a = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    # multiplication by a random odd number permutes the hashes, and its order is that of the high bits
+    a = rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    b = rng.integers(0, 1 << 32, n, dtype=np.uint32)
     k, bands, rows = cfg.shingle, cfg.bands, cfg.rows
     ids = list(id_cols)
     if n > cfg.permutations:
@@ -73,11 +77,16 @@ def band_keys(df: DataFrame, id_cols: Sequence[str], text_col: str, cfg: Config)
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             out = np.zeros((len(pdf), bands), np.int64)
+            space = np.empty((STEP, n), np.uint32)  # small enough to stay in a core's cache
             for i, t in enumerate(pdf["__text"]):
-                h = _hashes(t, k)
-                least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
-                for s in range(0, len(h), 4096):
-                    least = np.minimum(least, (h[s : s + 4096, None] * a + b).min(axis=0))
+                h = (_hashes(t, k) >> np.uint64(32)).astype(np.uint32)
+                least = np.full(n, np.iinfo(np.uint32).max, np.uint32)
+                for s in range(0, len(h), STEP):
+                    part = h[s : s + STEP, None]
+                    now = np.multiply(part, a, out=space[: len(part)])
+                    now += b
+                    np.minimum(least, now.min(axis=0), out=least)
+                least = least.astype(np.uint64)
                 mixed = np.zeros(bands, np.uint64)
                 for r in range(rows):
                     mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ least.reshape(bands, rows)[:, r]
