@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import confusables, decoding, statistics
-from .textvec import U64, Block, arrow, blocks, docs_in, first_of_runs, fold_table, letter_table, mix, read
+from .textvec import U64, Block, alnum_table, arrow, blocks, docs_in, first_of_runs, fold_table, letter_table, mix, read
 
 WEIGHTS = Path(__file__).with_name("block_weights.npz")
 BUCKETS = 4096
@@ -37,7 +37,8 @@ WIDTH = 20
 HIDDEN = 24
 SHAPE = 26
 THRESHOLD = 0.5
-_MARKS = "▸›+?»"
+#: What a line of prose may begin with beside letters and digits.
+_OPENING = "\"'“”‘’„«([{¿¡—–-*•#"
 _FORMS = re.compile("[̀-ͯﬀ-ﬆ＀-￯]")
 
 
@@ -94,7 +95,7 @@ class Leaves:
         shape = [
             np.log1p(n_words) / 3, np.log1p(n_solid) / 5, closed, np.minimum(ends, 4) / 4, per(sums(digit & inside), n_solid), per(sums(upper & inside), n_solid),
             per(sums(head & upper), np.maximum(sums(head), 1)), np.isin(first_cp, [45, 42, 0x2022, 0x2013]) & space[np.minimum(first + 1, len(cp) - 1)],
-            np.isin(first_cp, [ord(c) for c in _MARKS]), (last_cp == 41), *(np.minimum(c, 4) / 4 for c in cells), np.minimum(gap, 4) / 4, sums(cp == 58) > 0, last_cp == 58,
+            ~alnum_table()[first_cp] & ~np.isin(first_cp, [ord(c) for c in _OPENING]), (last_cp == 41), *(np.minimum(c, 4) / 4 for c in cells), np.minimum(gap, 4) / 4, sums(cp == 58) > 0, last_cp == 58,
             sums(cp == 64) > 0, sums(cp == 169) > 0, np.minimum(before - 1, 2) / 2, np.minimum(following - 1, 2) / 2, place == 0, place == total - 1,
             place / np.maximum(total - 1, 1), np.log1p(total) / 4, (n_words <= 4),
         ]

@@ -17,14 +17,13 @@ from collections.abc import Sequence
 
 import numpy as np
 
-from .blocks import BUCKETS, HIDDEN, SHAPE, WIDTH, Labeller, Leaves, recur
+from .blocks import _OPENING, BUCKETS, HIDDEN, SHAPE, WIDTH, Labeller, Leaves, recur
 from .textvec import blocks
 
 DOCUMENTS = 12_000
 EPOCHS = 9
 RECURS = 10
 _CELL = re.compile(r"\s*[|>»·]\s*|\s{2,}")
-_TEASER = re.compile(r"^[▸›+?]\s.*\(\d+\)$")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _NAME = re.compile(r"\b(?=\w*[^\W\d_a-zçğıöşüâ])\w{5,}\b")
 _END = re.compile(r"[.!?…][\"”»’)]*$")
@@ -72,6 +71,16 @@ class Teacher:
         often = {m for m, n in lines.items() if n >= RECURS // 2 and len(around[m]) >= RECURS * 0.4 and in_pages([m])}
         self.forms = {f for f, ms in forms.items() if len(ms) >= 4 and len(f.split()) > 1 and sum(lines[m] for m in ms) >= RECURS // 2 and in_pages(ms)}
         self.known = {m for m in self.known if inside[m] >= 0.8 * lines[m]} | often
+        # a sign that lines without a sentence begin with, in pages only, is a mark of lists of other articles
+        signs, signs_in = Counter(), Counter()
+        for t in texts:
+            own = [x.strip() for x in t.split("\n") if x.strip()]
+            page = len({_mask(x) for x in own} & self.known) >= 3
+            for x in own:
+                if self._sign(x):
+                    signs[x[0]] += 1
+                    signs_in[x[0]] += page
+        self.signs = {c for c, n in signs.items() if n >= RECURS and signs_in[c] >= 0.9 * n}
         self.cells = self.known | {c for c, n in cells.items() if n >= 8 and c}
         after = defaultdict(lambda: [0, 0])
         for t in texts:
@@ -83,10 +92,14 @@ class Teacher:
                     after[m][title] += 1
         self.headings = {m for m, (no, yes) in after.items() if yes >= 3 and yes > 0.6 * (no + yes) and "0" not in m}
 
+    @staticmethod
+    def _sign(line: str) -> bool:
+        return not line[0].isalnum() and line[0] not in _OPENING and line[1:2].isspace() and not _END.search(line)
+
     def plain(self, line: str) -> bool:
         """Furniture by itself."""
         m = _mask(line)
-        if m in self.known or any(f in self.forms for f in _nameless(m)) or _TEASER.match(line.strip()):
+        if m in self.known or any(f in self.forms for f in _nameless(m)) or self._sign(line.strip()) and line.strip()[0] in self.signs:
             return True
         parts = [p for p in _SENTENCE.split(line.strip()) if p]
         if len(parts) > 1 and all(_mask(p) in self.known or any(f in self.forms for f in _nameless(_mask(p))) for p in parts):
