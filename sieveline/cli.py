@@ -69,9 +69,9 @@ def available_lm(spark: SparkSession, cfg: Config, root: str) -> lm.Model:
 def filter_all(spark: SparkSession, cfg: Config, root: str) -> dict:
     """Decide every record, write kept, rejected and malformed ones, the reports and the audit samples."""
     rows = files.read_all(spark, root, cfg.text_key, cfg.shard_filter)
-    # a key of its own for each record, without collisions
-    rows = rows.withColumn("_row", F.concat_ws("#", "_file", F.lpad(F.col("_line_num").cast("string"), 19, "0")))
-    decided = decide(rows, cfg, lm=available_lm(spark, cfg, root), order=("_file", "_line_num"), row_id="_row")
+    # a key of its own for each record, without collisions, that sorts as paths do: component by component, then by line
+    rows = rows.withColumn("_row", F.concat_ws("\u0001", files.path_order(F.col("_file")), F.lpad(F.col("_line_num").cast("string"), 19, "0")))
+    decided = decide(rows, cfg, lm=available_lm(spark, cfg, root), order=("_row",), row_id="_row")
     decided.write.mode("overwrite").parquet(cfg.output("decided"))
     decided = spark.read.parquet(cfg.output("decided"))
     kept = decided.where("decision = 'keep'")
@@ -101,9 +101,9 @@ def filter_all(spark: SparkSession, cfg: Config, root: str) -> dict:
     return report
 
 
-def prepare_shards(spark: SparkSession, cfg: Config, root: str, n: int | None = None, target_mb: int = 300) -> dict:
+def prepare_shards(spark: SparkSession, cfg: Config, root: str, n: int | None = None, target_mb: int = 300, recursive: bool = True) -> dict:
     """Training shards: each text ends with one end mark and goes to the shard of its hash; too large ones are split."""
-    lines = files.read_lines(spark, root)
+    lines = files.read_lines(spark, root, recursive)
     counts = prepare.counters(lines, key=cfg.text_key).first().asDict()
     texts = files.parsed(lines, cfg.text_key).where("status = 'ok'").select(F.to_json(F.struct(prepare.ensure_eos(F.col("text")).alias("text"))).alias("line"))
     target = target_mb << 20
@@ -115,10 +115,12 @@ def prepare_shards(spark: SparkSession, cfg: Config, root: str, n: int | None =
     return report
 
 
-def extend_tokenizer(spark: SparkSession, cfg: Config, root: str, base: str, donor: str, limit: int) -> dict:
-    """The base tokenizer with the donor's tokens that the corpus needs most."""
+def extend_tokenizer(spark: SparkSession, cfg: Config, root: str, base: str, donor: str, limit: int, max_lines: int | None = None) -> dict:
+    """The base tokenizer with the donor's tokens that the corpus, or the first lines of each of its files, needs most."""
     (vocab, merges), (donor_vocab, donor_merges) = tokenizer.load(spark, base), tokenizer.load(spark, donor)
-    texts = files.read_lines(spark, root).select(tokenizer.record_text(F.col("raw")).alias("text"))
+    lines = files.read_lines(spark, root)
+    lines = lines if max_lines is None else lines.where(F.col("_line_num") < max_lines)
+    texts = lines.select(tokenizer.record_text(F.col("raw")).alias("text"))
     ranked = tokenizer.candidates(donor_vocab, vocab, tokenizer.word_frequency(texts, F.col("text"))).orderBy(F.desc("score"), "token")
     pairs = lambda m: [(r["left"], r["right"]) for r in m.orderBy("index").collect()]
     # two vocabularies, whose size their tokenizers fix
@@ -150,6 +152,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--base-tokenizer")
     p.add_argument("--donor-tokenizer")
     p.add_argument("--add-tokens", type=int, default=20_000)
+    p.add_argument("--max-lines", type=int)
+    p.add_argument("--flat", action="store_true")
     p.add_argument("--pattern", action="append")
     p.add_argument("--workers", type=int)
     p.add_argument("--log-file")
@@ -177,9 +181,9 @@ def main(argv: list[str] | None = None) -> None:
     if args.phase == "incremental":
         incremental.run(spark, root, cfg, manifest=manifest).awaitTermination()
     if args.phase == "prepare":
-        prepare_shards(spark, cfg, root, args.shards, args.shard_mb)
+        prepare_shards(spark, cfg, root, args.shards, args.shard_mb, not args.flat)
     if args.phase == "extend-tokenizer":
-        extend_tokenizer(spark, cfg, root, args.base_tokenizer, args.donor_tokenizer, args.add_tokens)
+        extend_tokenizer(spark, cfg, root, args.base_tokenizer, args.donor_tokenizer, args.add_tokens, args.max_lines)
 
 
 if __name__ == "__main__":

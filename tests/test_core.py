@@ -372,6 +372,23 @@ def test_prepare_command(spark, corpus, tmp_path):
     assert shards == [f"shard-{k:05d}.jsonl" for k in range(6)] and report["written"] == 6
     texts = [json.loads(x)["text"] for s in shards for x in (tmp_path / "out" / "prepared" / s).read_text().splitlines()]
     assert sorted(texts) == sorted(t + " " + prepare.EOS for t in ("Bir", "5", "Son", "ikinci", "üçüncü", "BIR"))
+    assert cli.prepare_shards(spark, Config(output_dir=str(tmp_path / "flat")), str(corpus), n=2, recursive=False)["written"] == 3
+
+
+def test_extend_tokenizer_command(spark, tmp_path):
+    from sieveline import cli
+
+    model = lambda vocab, merges: json.dumps({"model": {"vocab": {t: i for i, t in enumerate(vocab)}, "merges": merges}}, ensure_ascii=False)
+    (tmp_path / "base.json").write_text(model(["a", "ğ", "aç"], ["a ç"]), encoding="utf-8")
+    (tmp_path / "donor.json").write_text(model(["a", "ğ", "aç", "ağ", "ağa", "ağaç"], ["a ğ", "ağ a", "ağ aç"]), encoding="utf-8")
+    root = tmp_path / "in"
+    root.mkdir()
+    (root / "a.jsonl").write_text('{"text": "ağaç ağaç"}\n{"text": "ağa"}\n', encoding="utf-8")
+    cfg = Config(output_dir=str(tmp_path / "out"))
+    got = cli.extend_tokenizer(spark, cfg, str(root), str(tmp_path / "base.json"), str(tmp_path / "donor.json"), 2)
+    assert got["selected_tokens_preview"] == ["ağ", "ağaç"] and got["selected_merges_preview"] == [("a", "ğ", 0), ("ağ", "aç", 2)]
+    whole = json.loads((tmp_path / "out" / "tokenizer" / "tokenizer.json").read_text(encoding="utf-8"))
+    assert whole["model"]["vocab"]["ağaç"] == 4 and len(whole["model"]["merges"]) == 3
 
 
 def test_oversized_shards_are_split_into_files(spark, tmp_path):
