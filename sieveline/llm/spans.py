@@ -52,6 +52,8 @@ GRAM = WINDOW // 2
 GROUP_ROWS = 20_000
 #: One document in so many is looked at to find hot fingerprints.
 SAMPLE = 64
+#: Hot fingerprints up to which they are broadcast.
+HOT_ROWS = 1_000_000
 #: Runs of a tier that are compacted into one of the next.
 FAN = 2
 _PLACE = U64((1 << 21) - 1)
@@ -159,6 +161,7 @@ class SpanIndex:
         self.path = path or fresh_path(spark, "spans")
         self.corpus = None if corpus is None else docs_in(corpus, id_col, text_col)
         self.runs: list[Run] = []
+        self._n_hot: int | None = None
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         old = []
         for name in listed(spark, self.path):
@@ -194,6 +197,7 @@ class SpanIndex:
         fingerprint = lambda d: d.mapInArrow(_indexed(self.window), ROWS)
         some = fingerprint(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE)) == 0))
         self._kept("hot", some.groupBy("h").count().where(F.col("count") * SAMPLE > GROUP_ROWS).select("h").coalesce(1))
+        self._n_hot = None
         self._write(fingerprint(docs).select("*", F.lit(False).alias("settled"), F.lit(False).alias("pair")), 0)
         found = self._matched(self.runs[-1], self.runs[:-1])
         self._kept("spans", found)
@@ -206,7 +210,7 @@ class SpanIndex:
     def _write(self, rows: DataFrame, tier: int) -> None:
         number = self._next("run")
         run = Run(f"{self.path}/run-{number:05d}-t{tier}-b{self.buckets}-w{self.window}", number, tier, f"spans_{uuid.uuid4().hex}")
-        hot = F.broadcast(self._hot().withColumn("hot", F.lit(True)))
+        hot = self._hot().withColumn("hot", F.lit(True))
         spread = lambda d: d.join(hot, "h", "left").withColumn("k", F.when(F.col("hot"), F.xxhash64("h", "doc_id")).otherwise(F.col("h"))).drop("hot")
         rows = spread(rows).repartition(self.buckets, "k").sortWithinPartitions("h", "c", "doc_id", "s")
         marked = rows.drop("k").select("h", "c", "doc_id", "s", "e", "settled", "pair").mapInArrow(_settled, f"{ROWS}, settled boolean, pair boolean")
@@ -214,8 +218,11 @@ class SpanIndex:
         self.runs.append(run)
 
     def _hot(self) -> DataFrame:
-        """Hot fingerprints: at most one for GROUP_ROWS rows of the index."""
-        return self._of("hot", "h bigint").distinct()
+        """Hot fingerprints: at most one for GROUP_ROWS rows of the index, broadcast up to a size."""
+        if self._n_hot is None:
+            self._n_hot = self._of("hot", "h bigint").distinct().count()
+        rows = self._of("hot", "h bigint").distinct()
+        return F.broadcast(rows) if self._n_hot <= HOT_ROWS else rows
 
     def _compact(self, runs: list[Run], tier: int) -> None:
         """Merge runs into one; the old ones go once the new one is whole, and their settled spans stand beside it."""
@@ -239,7 +246,7 @@ class SpanIndex:
 
     def _matched(self, new: Run, old: list[Run]) -> DataFrame:
         """What a new run adds to the spans beside its own settled rows."""
-        hot = F.broadcast(self._hot())
+        hot = self._hot()
         live = lambda r: self.spark.table(r.table).where("not settled or pair")
         cold = lambda r: live(r).where("k = h")
         docs_of = lambda rows, a: rows.groupBy("k").agg(F.min("doc_id").alias(f"least{a}"), F.max("doc_id").alias(f"most{a}"), F.count(F.when(~F.col("settled"), 1)).alias(f"open{a}"))
@@ -256,17 +263,22 @@ class SpanIndex:
         settled = F.col("c_least") != F.col("c_most")
         rows = rows.select("*", F.min("doc_id").over(by_text).alias("c_least"), F.max("doc_id").over(by_text).alias("c_most"), F.min(F.struct("doc_id", "s")).over(by_text).alias("one"), F.max(F.struct("doc_id", "s")).over(by_text).alias("other"))
         rows = rows.select("h", "doc_id", "s", "e", (settled & ~F.col("settled")).alias("new"), (~settled).alias("open"), F.struct("doc_id", "s").isin(F.col("one"), F.col("other")).alias("kept"), F.count(F.when(~settled, 1)).over(by_h).alias("n_open"))
-        rows = stored(rows.where("new or n_open > 0 and (open or kept)"), "matched")
-        texts = self._texts(rows.where("n_open > 0 and (open or kept)").select("h", "doc_id", "s", "e", "open", F.count("*").over(by_h).alias("n")))
-        small = texts.where(F.col("n") <= GROUP_ROWS).repartition("h").sortWithinPartitions("h").mapInArrow(_verify(self.window), "doc_id bigint, s bigint, e bigint")
+        rows = rows.withColumn("verify", F.expr("n_open > 0 and (open or kept)"))
+        rows = stored(rows.withColumn("n", F.count(F.when(F.col("verify"), 1)).over(by_h)).where("new or verify").select("h", "doc_id", "s", "e", "new", "open", "verify", "n"), "matched")
+        texts = self._texts(rows.where(F.col("verify") & (F.col("n") <= GROUP_ROWS)).select("h", "doc_id", "s", "e", "open"))
+        found = rows.where("new").select("doc_id", "s", "e").union(texts.repartition("h").sortWithinPartitions("h").mapInArrow(_verify(self.window), "doc_id bigint, s bigint, e bigint"))
+        large = rows.where(F.col("verify") & (F.col("n") > GROUP_ROWS)).select("h", "doc_id", "s", "e", "open")
+        if not large.isEmpty():
+            found = found.union(self._by_windows(self._texts(large)))
+        if not self._n_hot:
+            return found
         hot_rows = reduce(DataFrame.union, (live(r).join(hot, "h", "left_semi").select("h", "doc_id", "s", "e", (~F.col("settled")).alias("open")) for r in [new, *old]))
-        large = self._by_windows(texts.where(F.col("n") > GROUP_ROWS).select("h", "doc_id", "s", "open", "text").union(self._texts(hot_rows).select("h", "doc_id", "s", "open", "text")))
-        return rows.where("new").select("doc_id", "s", "e").union(small).union(large)
+        return found.union(self._by_windows(self._texts(hot_rows)))
 
     def _texts(self, rows: DataFrame) -> DataFrame:
         docs = self._of("texts", "doc_id bigint, text string") if self.corpus is None else self.corpus
-        rest = [c for c in rows.columns if c != "e"]
-        return rows.join(docs.dropDuplicates(["doc_id"]), "doc_id").select(*rest, F.expr("substring(text, cast(s + 1 as int), cast(e - s as int))").alias("text"))
+        own = docs.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])  # whole texts move only where they are wanted
+        return rows.join(own, "doc_id").select("h", "doc_id", "s", "open", F.expr("substring(text, cast(s + 1 as int), cast(e - s as int))").alias("text"))
 
     def _by_windows(self, texts: DataFrame) -> DataFrame:
         """Verification of large groups: their windows meet by hash, of 64 bits and of another 64, whatever their fingerprint's rows."""

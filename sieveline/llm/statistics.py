@@ -37,7 +37,7 @@ from ..plans.storage import bounded, stored
 from . import confusables, decoding, labels
 from .textvec import TABLE_END, TRIGRAM_BITS, Block, alnum_table, arrow, blocks, docs_in, trigrams
 
-CHUNK = 1 << 20
+CHUNK = 1 << 13
 FAN = 32
 CONTEXT = 2
 FIXED_ROWS = 100_000
@@ -384,13 +384,12 @@ def statistics(df: DataFrame, words: DataFrame, samples: DataFrame, id_col: str
     docs = docs_in(df, id_col, text_col)
     number = lambda x: F.lit(x).cast("int")
     short = docs.where(F.length("text") <= chunk).select("doc_id", "text", F.lit(0).cast("bigint").alias("row"), F.lit(0).cast("bigint").alias("chunk"), number(1).alias("n"), number(0).alias("left"), number(0).alias("right"))
-    size = F.length("text")
-    at = F.col("chunk") * chunk
-    long = docs.where(size > chunk).select("doc_id", "text", F.monotonically_increasing_id().alias("row"), F.ceil(size / chunk).cast("int").alias("n"))
-    long = long.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("n") - 1).cast("bigint"))).alias("chunk"))
-    long = long.select("doc_id", "text", "row", "chunk", "n", F.least(at, F.lit(CONTEXT)).cast("int").alias("left"), F.greatest(F.lit(0), F.least(F.lit(CONTEXT), size - at - chunk)).cast("int").alias("right"))
-    cut = F.expr(f"substring(text, cast(chunk * {chunk} as int) - left + 1, {chunk} + left + right)")
-    long = long.select("doc_id", cut.alias("text"), "row", "chunk", "n", "left", "right").repartition("row", "chunk")
+    # cut in one pass over the text; each piece is given with the characters beside it
+    long = docs.where(F.length("text") > chunk).select("doc_id", F.monotonically_increasing_id().alias("row"), F.regexp_extract_all("text", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0)).alias("parts"))
+    beside = lambda i, at: F.substring(F.coalesce(F.get("parts", i), F.lit("")), at, CONTEXT)
+    piece = lambda x, i: F.struct(i.cast("bigint").alias("chunk"), F.when(i > 0, beside(i - 1, -CONTEXT)).otherwise("").alias("before"), x.alias("own"), beside(i + 1, 1).alias("after"))
+    long = long.select("doc_id", "row", F.size("parts").alias("n"), F.explode(F.transform("parts", piece)).alias("x"))
+    long = long.select("doc_id", F.concat("x.before", "x.own", "x.after").alias("text"), "row", "x.chunk", "n", F.length("x.before").alias("left"), F.length("x.after").alias("right")).repartition("row", "chunk")
     rows = stored(short.mapInArrow(_chunks(fixed, limits), ROW).union(long.mapInArrow(_chunks(fixed, limits), ROW)), "chunks")
     states = rows.where("n > 1").select("doc_id", "row", "chunk", "state")
     nodes = rows.agg(F.max("n")).first()[0] or 1

@@ -365,7 +365,8 @@ def test_kind_of_damaged_documents_beyond_a_chunk(spark, fixed):
 def test_statistics_are_the_same_at_every_length(spark, fixed):
     wide = "".join(chr(ord(c) + 0xFEE0) if "!" <= c <= "~" else c for c in EN)
     forms = [wide, TR.encode().decode("latin-1"), TR, " \n "]
-    texts = forms + ["\n".join([t] * (2 * statistics.CHUNK // len(t))) for t in forms]
+    texts = forms + ["\n".join([t] * ((1 << 21) // len(t))) for t in forms]
+    assert len(texts[4]) > 200 * statistics.CHUNK
     df = docs(spark, texts, ids=[*range(7), 3])
     got = sorted((r["doc_id"], r["kind"], round(r["alpha_ratio"], 2)) for r in statistics.statistics(df.union(df), *fixed).collect())
     assert [g[0] for g in got] == [0, 0, 1, 1, 2, 2, 4, 4, 5, 5, 6, 6]
