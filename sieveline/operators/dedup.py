@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.text import strip
+from ..functions.text import once, strip
 from ..plans.storage import discarded, stored
 
 
@@ -30,7 +30,7 @@ def mark_exact(df: DataFrame, text: Column, order: Sequence[str]) -> DataFrame:
     texts, and its first row is found by a partial aggregation: a text that
     most rows share leaves each task as one row. Rows without a text are none.
     """
-    keyed = df.withColumn("__key", F.sha2(exact_key(text), 256)).withColumn("__at", F.struct(*order))
+    keyed = df.withColumn("__key", once(F.sha2(exact_key(text), 256))).withColumn("__at", F.struct(*order))
     first = keyed.where("__key is not null").groupBy("__key").agg(F.min("__at").alias("__first"), F.count("*").alias("__n")).where("__n > 1")
     return keyed.join(first, "__key", "left").withColumn("is_exact_dup", F.coalesce(F.col("__at") > F.col("__first"), F.lit(False))).drop("__key", "__at", "__first", "__n")
 
