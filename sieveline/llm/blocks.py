@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import confusables, decoding, statistics
-from .textvec import U64, Block, alnum_table, arrow, blocks, docs_in, first_of_runs, fold_table, letter_table, mix, read
+from .textvec import U64, Block, alnum_table, arrow, docs_in, first_of_runs, fold_table, letter_table, mix, read
 
 WEIGHTS = Path(__file__).with_name("block_weights.npz")
 BUCKETS = 4096

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..plans.storage import bounded
 from .textvec import docs_in
 
-LANGUAGES = ("tr", "az", "en", "de", "fr", "es", "ru")
 #: Other spellings of a language's code.
 SPELLINGS = {
     "tr": ("tur", "turkish"),

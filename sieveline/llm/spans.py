@@ -199,8 +199,9 @@ class SpanIndex:
         self._kept("hot", some.groupBy("h").count().where(F.col("count") * SAMPLE > GROUP_ROWS).select("h").coalesce(1))
         self._n_hot = None
         self._write(fingerprint(docs).select("*", F.lit(False).alias("settled"), F.lit(False).alias("pair")), 0)
-        found = self._matched(self.runs[-1], self.runs[:-1])
+        found, rows = self._matched(self.runs[-1], self.runs[:-1])
         self._kept("spans", found)
+        discarded(rows)
         for tier in range(64):
             same = [r for r in self.runs if r.tier == tier]
             if len(same) < FAN:
@@ -244,8 +245,8 @@ class SpanIndex:
         settled = [self.spark.table(r.table).where("settled").select("doc_id", "s", "e") for r in self.runs]
         return merged(reduce(DataFrame.union, settled, self._of("spans", "doc_id bigint, s bigint, e bigint")))
 
-    def _matched(self, new: Run, old: list[Run]) -> DataFrame:
-        """What a new run adds to the spans beside its own settled rows."""
+    def _matched(self, new: Run, old: list[Run]) -> tuple[DataFrame, DataFrame]:
+        """What a new run adds to the spans beside its own settled rows, and the stored rows that it is read from."""
         hot = self._hot()
         live = lambda r: self.spark.table(r.table).where("not settled or pair")
         cold = lambda r: live(r).where("k = h")
@@ -271,9 +272,9 @@ class SpanIndex:
         if not large.isEmpty():
             found = found.union(self._by_windows(self._texts(large)))
         if not self._n_hot:
-            return found
+            return found, rows
         hot_rows = reduce(DataFrame.union, (live(r).join(hot, "h", "left_semi").select("h", "doc_id", "s", "e", (~F.col("settled")).alias("open")) for r in [new, *old]))
-        return found.union(self._by_windows(self._texts(hot_rows)))
+        return found.union(self._by_windows(self._texts(hot_rows))), rows
 
     def _texts(self, rows: DataFrame) -> DataFrame:
         docs = self._of("texts", "doc_id bigint, text string") if self.corpus is None else self.corpus
