@@ -216,6 +216,24 @@ def test_exhaustive_search_finds_what_the_beam_finds(spark, fixed):
     assert pairs(decoding.damaged_lines(docs(spark, texts), fixed[1], search=every).select("doc_id", "line_no").distinct()) == [(0, 0), (1, 0)]
 
 
+def test_no_chain_is_left_out(spark, fixed):
+    # a chain that three candidates of a length miss: the first step spoils the words that were right, the second mends them
+    long = TR + " Küçük çocuklar yağmurda ıslandı, büyükler ise şehre döndü ve ışıkları söndürdü."
+    texts = [long.encode("cp1254").decode(wrong) + " Çok yabancı bir gün götürmedi." for wrong in ("cp850", "cp437")]
+    want = [long + t[len(long) :] for t in texts]
+    assert pairs(decoding.damaged_lines(docs(spark, texts), fixed[1]).select("doc_id", "line_no", "repaired")) == [(i, 0, t) for i, t in enumerate(want)]
+    # the same as trying every chain one after the other
+    coder = decoding.Coder(decoding.dictionaries(*labels.sample(docs(spark, texts), fixed[1])), decoding.Search(depth=2))
+    cost = lambda t, n: coder.size(t) + decoding.ODD * len(decoding._odd().findall(t)) + decoding.STEP * n
+    for text in (texts[0][-90:], TR[:60].encode().decode("latin-1"), "Açık\xa0köy yolu".encode("cp1254").decode("cp850"), FOREIGN["is"]):
+        best, chain, level, seen = cost(text, 0), (), [((), text)], {text}
+        for n in (1, 2):
+            made = [((*c, s), new) for c, t in level for s in decoding.STEPS if (new := decoding.undo(t, *s)) not in seen and not seen.add(new)]
+            least = min(((cost(t, n), c) for c, t in made if cost(t, n) < best and decoding._supported(text, t, c, coder)), default=None)
+            best, chain, level = (*least, made) if least else (best, chain, made)
+        assert decoding.best_chain(text, coder, False) == chain, text
+
+
 # --- page furniture ---------------------------------------------------------------------
 
 
