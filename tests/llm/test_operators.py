@@ -234,6 +234,27 @@ def test_no_chain_is_left_out(spark, fixed):
         assert decoding.best_chain(text, coder, False) == chain, text
 
 
+def test_texts_without_evidence_are_dropped_early(spark, fixed, monkeypatch):
+    # most of the signs are those of a few words, which tell of nearly every chain that the rest need not be looked at
+    line = "Это был старый город, который очень долго строил новый мост через широкую реку."
+    texts = ["\n".join([line[:22]] * 12 + [line]).encode(right).decode(wrong) for right, wrong in (("utf-8", "cp866"), ("koi8-r", "cp437"))]
+    coder = decoding.Coder(decoding.dictionaries(*labels.sample(docs(spark, texts), fixed[1])), decoding.Search())
+    looked, stands = [0], decoding.Coder.stands
+    monkeypatch.setattr(decoding.Coder, "stands", lambda self, tokens: looked.__setitem__(0, looked[0] + len(tokens)) or stands(self, tokens))
+    chains = [decoding.best_chain(t, coder, False) for t in texts]
+    assert chains == [(("cp866", "utf-8"),), (("cp437", "koi8-r"),)]
+    assert looked[0] < 110_000  # 176,000 before
+    # what is dropped would not have been evident
+    rows = []
+    for text in (*texts, "Açık\xa0köy yolu köy kız yolu çok".encode("cp1254").decode("cp850")):
+        made = decoding.Chains(text, coder, coder.readings)
+        level, *_, seen = made.level(made.first, made.seen())
+        rows.append((made, made.level(level, seen)[0]))
+    early = [made.evident(r).tolist() for made, r in rows]
+    monkeypatch.setattr(decoding.Chains, "_may_be_evident", lambda self, total, left: np.full(len(total), True))
+    assert early == [made.evident(r).tolist() for made, r in rows] and any(early)
+
+
 # --- page furniture ---------------------------------------------------------------------
 
 
