@@ -111,6 +111,11 @@ def test_function_words_vote(spark):
     assert [(p["lang"], p["score"]) for p in got] == [("en", 0.6), ("tr", 0.2)] and one(spark, "xyz", lambda c: language.by_function_words(c, lists)) == []
 
 
+def test_function_words_split_a_text_once(spark):
+    said = language.by_function_words(F.col("text"), language.default_lists(TURKISH))
+    assert str(language.info(said, F.col("features"), "function_words")).count(f", {language.WINDOW})") == 1
+
+
 @pytest.mark.parametrize(
     ("ppl", "n", "oov", "want"),
     [(-1.0, 50, 0.0, None), (None, 50, 0.0, None), (3000.0, 50, 0.0, None), (3000.01, 50, 0.0, "high_kenlm_perplexity"), (4500.0, 29, 0.0, None), (4501.0, 29, 0.0, "high_kenlm_perplexity"), (1600.0, 50, 0.51, "high_oov_and_perplexity"), (1500.0, 50, 0.51, None)],
