@@ -213,6 +213,25 @@ def test_lm_probabilities_sum_to_one_and_scores(spark):
     assert got[4]["perplexity"] == -1 and got[5]["perplexity"] == -1 and got[4]["num_tokens"] == 2
 
 
+def test_lm_seed_is_cut_into_sentences_by_several_tasks(spark):
+    rows = spark.createDataFrame([(i, f"one two three {i}. four five six.") for i in range(50)], "id bigint, text string")
+    got = lm.seed_corpus(rows, "text", ["id"], F.lit(True), Config(seed_records=40))
+    assert got.rdd.getNumPartitions() > 1 and got.count() == 80
+
+
+def test_lm_scores_from_several_files(spark, monkeypatch):
+    corpus = spark.createDataFrame([(s.split(),) for s in ("a b c d e f g h", "a b c d x y z h", "b c d e f g a") * 3], "sentence array<string>")
+    cfg = Config(lm_order=3, min_lm_tokens=3)
+    model = lm.train(corpus, cfg)
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "h z q a b d"), (3, ""), (4, "a b c " * 300)], "id bigint, text string")
+    whole = sorted(lm.score(df, model, "text", "id", cfg).collect())
+    monkeypatch.setattr(lm, "PART", 4)
+    words = lm.Model(model.order, model.grams, model.backoffs, model.vocabulary)  # as a stored model is read
+    assert sorted(lm.score(df, model, "text", "id", cfg).collect()) == whole
+    assert sorted(lm.score(df, words, "text", "id", cfg).collect()) == whole
+    assert all(len(x) > 1 for x in lm._files(model))
+
+
 def test_percentiles_pick_by_index(spark):
     values = [5.0, 1.0, 1.0, 9.0, 3.0, -2.0, 700.0, 3.5, 0.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
