@@ -232,6 +232,15 @@ def test_lm_scores_from_several_files(spark, monkeypatch):
     assert all(len(x) > 1 for x in lm._files(model))
 
 
+def test_a_decision_scores_texts_once(spark):
+    cfg = Config(lm_order=2, min_lm_tokens=3, enable_near_dedup=True)
+    model = lm.train(spark.createDataFrame([("a b c d e f".split(),)], "sentence array<string>"), cfg)
+    rows = spark.createDataFrame([(i, f"a b c {i} d e f") for i in range(4)], "doc_id bigint, text string")
+    got = decide(rows, cfg, None, model, order=("doc_id",), row_id="doc_id")
+    assert "MapInArrow" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.where("perplexity > 0").count() == 4
+
+
 def test_percentiles_pick_by_index(spark):
     values = [5.0, 1.0, 1.0, 9.0, 3.0, -2.0, 700.0, 3.5, 0.0]
     df = spark.createDataFrame([(v,) for v in values], "v double")
